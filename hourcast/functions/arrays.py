@@ -20,7 +20,7 @@ def field(w: Column, name: str) -> Column:
 
 def lag(a: Column, k: int, size: int) -> Column:
     """Element ``lag_k`` (lag_1 = newest = last element)."""
-    return F.element_at(a, size - k + 1)
+    return F.get(a, size - k)
 
 
 def tail(a: Column, k: int, size: int) -> Column:

@@ -26,14 +26,19 @@ RAIN_SUM_SIZES = (3, 6, 24)
 
 
 class Win:
-    """Accessors on the window array column ``w`` of ``size`` elements."""
+    """Accessors on the window array column ``w`` of ``size`` elements.
+
+    Per-measure value arrays are read from columns ``_a_<m>`` made once by
+    :func:`with_arrays`; features reference them instead of re-running
+    ``transform(w, ...)`` inside every expression (and Catalyst does not inline
+    a non-trivial projection that is referenced many times)."""
 
     def __init__(self, size: int = 24, col: str = "w"):
         self.size = size
         self.w = F.col(col)
 
     def v(self, m: str) -> Column:
-        return A.field(self.w, m)
+        return F.col(f"_a_{m}")
 
     def lag(self, m: str, k: int) -> Column:
         return A.lag(self.v(m), k, self.size)
@@ -42,6 +47,15 @@ class Win:
         return A.tail(self.v(m), k, self.size)
 
 
+def with_arrays(windows: DataFrame, measures, col: str = "w") -> DataFrame:
+    """Add one value array ``_a_<m>`` per measure (computed once per row)."""
+    return windows.select("*", *[A.field(F.col(col), m).alias(f"_a_{m}") for m in measures])
+
+
+def drop_arrays(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith("_a_")])
+
+
 def calendar_features(df: DataFrame, time: str = "window_end") -> list[Column]:
     """P4 + P5: hour, month, weekday (Mon=0), weekend flag, sin/cos of hour and month."""
     t = F.col(time)
@@ -177,10 +191,11 @@ def wd_sincos(code: str = "wd_lag_1") -> list[Column]:
 def compact_frame(windows: DataFrame, spec: PanelSpec = PanelSpec(), size: int | None = None) -> DataFrame:
     """F12 (compact): F1 + F2 + P4 + P5 + F9 in one projection."""
     win = Win(size or spec.window)
-    return windows.select(
+    arr = with_arrays(windows, spec.numeric)
+    return drop_arrays(arr.select(
         "*", *target_summary(win, spec.target), *other_summary(win), *calendar_features(windows),
         *compact_interactions(win),
-    )
+    ))
 
 
 def rich_frame(windows: DataFrame, spec: PanelSpec = PanelSpec(), size: int | None = None) -> DataFrame:
@@ -190,7 +205,7 @@ def rich_frame(windows: DataFrame, spec: PanelSpec = PanelSpec(), size: int | No
     for m in spec.numeric:
         cols += rich_rolling(win, m)
     cols += rain_sums(win) + rich_interactions(win, spec.series)
-    feats = windows.select("*", *cols)
+    feats = drop_arrays(with_arrays(windows, spec.numeric).select("*", *cols))
     doubles = {f.name for f in feats.schema.fields if f.dataType.simpleString() == "double"}
     return feats.select(*[finite_or_null(c).alias(c) if c in doubles else F.col(c) for c in feats.columns])
 
@@ -198,11 +213,11 @@ def rich_frame(windows: DataFrame, spec: PanelSpec = PanelSpec(), size: int | No
 def supplied_rolling_means(windows: DataFrame, size: int = 24, target: str = "pm25") -> DataFrame:
     """lag 1 and 2 h / 3 h means of the (interpolated) target lags."""
     win = Win(size)
-    return windows.select(
+    return drop_arrays(with_arrays(windows, [target]).select(
         "*", win.lag(target, 1).alias(f"{target}_lag1_value"),
         A.mean(win.last(target, 2)).alias(f"{target}_mean_2h"),
         A.mean(win.last(target, 3)).alias(f"{target}_mean_3h"),
-    )
+    ))
 
 
 def wind_exprs(code: str = "wd_lag_1", speed: Column | None = None) -> dict[str, Column]:

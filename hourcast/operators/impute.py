@@ -132,34 +132,128 @@ def window_interpolate(windows: DataFrame, stats: ImputeStats, spec: PanelSpec =
     (edges take the nearest value); all-NULL -> training median; ``wd_lag_1``
     -> training mode."""
     spec_m = [m for m in spec.numeric]
+    cats = [c for c in spec.categorical]
     wcol = F.col(w)
+    # value arrays first (one transform per measure), then the O(size^2)
+    # position scans read plain array columns
+    staged = windows.select("*", *[A.field(wcol, m).alias(f"_a_{m}") for m in (*spec_m, *cats)])
 
     def filled(m):
         med = stats.medians.get(m)
-        arr = A.interpolate(A.field(wcol, m))
+        arr = A.interpolate(F.col(f"_a_{m}"))
         return F.transform(arr, lambda x: F.coalesce(x, F.lit(med).cast("double"))) if med is not None else arr
 
-    cats = [c for c in spec.categorical]
     zipped = F.arrays_zip(*[filled(m).alias(m) for m in spec_m],
-                          *[A.ffill_bfill_str(A.field(wcol, c)).alias(c) for c in cats])
-    out = windows.withColumn(w, zipped)
+                          *[A.ffill_bfill_str(F.col(f"_a_{c}")).alias(c) for c in cats])
+    out = staged.withColumn(w, zipped).drop(*[f"_a_{m}" for m in (*spec_m, *cats)])
     if "wd_lag_1" in windows.columns and "wd" in stats.modes:
         out = out.withColumn("wd_lag_1", F.coalesce(F.col("wd_lag_1"), F.lit(stats.modes["wd"])))
     return out
 
 
-def rowwise_impute_supplied(windows: DataFrame, stats: ImputeStats, spec: PanelSpec = PanelSpec(), w: str = "w") -> DataFrame:
-    """M8: supplied (flattened) windows: numeric lags interpolated along the
-    lag axis with median fallback; string lags ffill -> bfill -> mode."""
-    out = window_interpolate(windows, stats, spec, w)
-    for c in spec.categorical:
-        mode = stats.modes.get(c, UNKNOWN)
-        out = out.withColumn(
-            w, F.transform(w, lambda x: x.withField(c, F.coalesce(x[c], F.lit(mode))))
-        )
+def interpolated_windows(panel: DataFrame, stats: ImputeStats, spec: PanelSpec = PanelSpec()) -> DataFrame:
+    """M7 from the panel, in O(size) per window.
+
+    Within a window ending at ``e`` the interpolated value at hour ``h`` only
+    depends on the last observed (time, value) at or before ``h`` and the next
+    observed (time, value) at or after ``h``, provided they fall inside
+    ``[e-size+1, e]``.  Those four numbers are series-level forward / back
+    fills (the bucketed ``_fill``), carried into the window array; one scalar
+    transform then applies linear interpolation, nearest value at the edges
+    and the train median for an all-missing window.  Equal to interpolating
+    each window array by position (valid windows are consecutive hours)."""
+    from hourcast.operators.windows import build_windows
+
+    spec = spec.present(panel)
+    t = spec.time
+    ms = list(spec.numeric)
+    h = hour_index(t)
+    aug = panel.select(
+        "*", h.alias("_h"),
+        *[F.when(F.col(m).isNotNull(), h).alias(f"_pt_{m}") for m in ms],
+        *[F.col(m).alias(f"_pv_{m}") for m in ms],
+        *[F.when(F.col(m).isNotNull(), h).alias(f"_nt_{m}") for m in ms],
+        *[F.col(m).alias(f"_nv_{m}") for m in ms],
+    )
+    aug = _fill(aug, spec, [f"_p{k}_{m}" for m in ms for k in ("t", "v")], forward=True)
+    aug = _fill(aug, spec, [f"_n{k}_{m}" for m in ms for k in ("t", "v")], forward=False)
+    fields = ["_h", *[f"_{a}{k}_{m}" for m in ms for a in ("p", "n") for k in ("t", "v")], *spec.categorical]
+    wins = build_windows(aug, spec, fields=fields)
+    size = spec.window
+    e = hour_index(F.col("window_end"))
+    lo = e - (size - 1)
+
+    def elem(x):
+        vals = []
+        for m in ms:
+            pt, pv, nt, nv = x[f"_pt_{m}"], x[f"_pv_{m}"], x[f"_nt_{m}"], x[f"_nv_{m}"]
+            p_in = pt.isNotNull() & (pt >= lo)
+            n_in = nt.isNotNull() & (nt <= e)
+            v = (
+                F.when(p_in & n_in & (pt == nt), pv)
+                .when(p_in & n_in, pv + (nv - pv) * (x["_h"] - pt) / (nt - pt))
+                .when(n_in, nv)
+                .when(p_in, pv)
+            )
+            med = stats.medians.get(m)
+            vals.append((F.coalesce(v, F.lit(med).cast("double")) if med is not None else v).alias(m))
+        return F.struct(*vals, *[x[c].alias(c) for c in spec.categorical])
+
+    out = wins.withColumn("w", F.transform("w", elem))
+    if "wd_lag_1" in out.columns and "wd" in stats.modes:
+        out = out.withColumn("wd_lag_1", F.coalesce(F.col("wd_lag_1"), F.lit(stats.modes["wd"])))
     return out
 
 
+def rowwise_impute_supplied(windows: DataFrame, stats: ImputeStats, spec: PanelSpec = PanelSpec(),
+                            key: str = "id", w: str = "w") -> DataFrame:
+    """M8: supplied windows (array ``w`` per ``key``) -> long rows
+    ``(key, lag, measures..., wd)`` with numeric lags linearly interpolated by
+    position (edges nearest, all-NULL -> train median) and string lags
+    forward- then back-filled along the lags (then train mode).
+
+    Each window is exploded and handled by window functions partitioned by its
+    key: partitions hold exactly ``size`` rows, and there is no per-element
+    scan inside the array."""
+    size = spec.window
+    spec = spec.present(windows.select(F.explode(w).alias("_x")).select("_x.*"))
+    ms, cats = list(spec.numeric), list(spec.categorical)
+    e = windows.select(key, F.posexplode(w).alias("_pos", "_x")).select(
+        key, "_pos", *[F.col(f"_x.{c}").alias(c) for c in (*ms, *cats)])
+    o = Window.partitionBy(key).orderBy("_pos")
+    bw = o.rowsBetween(Window.unboundedPreceding, 0)
+    aw = o.rowsBetween(0, Window.unboundedFollowing)
+    edges = []
+    for m in ms:
+        c = F.col(m)
+        edges += [
+            F.last(c, True).over(bw).alias(f"_pv_{m}"), F.first(c, True).over(aw).alias(f"_nv_{m}"),
+            F.last(F.when(c.isNotNull(), F.col("_pos")), True).over(bw).alias(f"_pp_{m}"),
+            F.first(F.when(c.isNotNull(), F.col("_pos")), True).over(aw).alias(f"_np_{m}"),
+        ]
+    for c in cats:
+        edges += [F.last(c, True).over(bw).alias(f"_pv_{c}"), F.first(c, True).over(aw).alias(f"_nv_{c}")]
+    staged = e.select(key, "_pos", *edges)
+    cols = []
+    for m in ms:
+        pv, nv, pp, np_ = (F.col(f"_{k}_{m}") for k in ("pv", "nv", "pp", "np"))
+        v = (F.when(pp.isNull(), nv).when(np_.isNull(), pv).when(pp == np_, pv)
+             .otherwise(pv + (nv - pv) * (F.col("_pos") - pp) / (np_ - pp)))
+        med = stats.medians.get(m)
+        cols.append((F.coalesce(v, F.lit(med).cast("double")) if med is not None else v).alias(m))
+    for c in cats:
+        cols.append(F.coalesce(F.col(f"_pv_{c}"), F.col(f"_nv_{c}"), F.lit(stats.modes.get(c, UNKNOWN))).alias(c))
+    return staged.select(key, (F.lit(size) - F.col("_pos")).alias("lag"), *cols)
+
+
+def refold(long: DataFrame, key: str = "id", cols=None) -> DataFrame:
+    """Long (key, lag, values...) back to one window array per key, oldest first."""
+    cols = cols or [c for c in long.columns if c not in (key, "lag")]
+    return long.groupBy(key).agg(
+        F.sort_array(F.collect_list(F.struct((-F.col("lag")).alias("_o"), *cols))).alias("_w")
+    ).select(key, F.transform("_w", lambda x: x.dropFields("_o")).alias("w"))
+
+
 def matrix_fill(train: DataFrame, others: Sequence[DataFrame], numeric: Sequence[str], categorical: Sequence[str]):
     """M9: keep model columns common to all frames; numeric <- train median,
     categorical <- train mode (as string); same values applied to every frame."""

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from hourcast.functions.scalar import hour_index
 from hourcast.spec import PanelSpec
 
-ONE_HOUR = F.expr("INTERVAL 1 HOUR")
 
 
 def _hours(n: int):
@@ -61,7 +60,7 @@ def one_hour_ahead(df: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
         F.lead(t, 1).over(w).alias("next_time"),
     )
     return out.where(
-        F.col("_home") & (F.col("next_time") == F.col(t) + ONE_HOUR) & F.col("target_next").isNotNull()
+        F.col("_home") & (F.col("next_time") == F.col(t) + _hours(1)) & F.col("target_next").isNotNull()
     ).drop("_home")
 
 
@@ -87,6 +86,7 @@ def build_windows(
     size: int | None = None,
     raw_target: str | None = None,
     keep_invalid: bool = False,
+    fields: list[str] | None = None,
 ) -> DataFrame:
     """Sliding windows of ``size`` rows per series, anchored at the
     window end.
@@ -109,7 +109,7 @@ def build_windows(
     b, part = bucketed(df, spec, size - 1, 1)
     w = Window.partitionBy(*part).orderBy(t)
     frame = w.rowsBetween(-(size - 1), 0)
-    fields = [*spec.numeric, *spec.categorical]
+    fields = fields or [*spec.numeric, *spec.categorical]
     cand = b.select(
         s, t, "_home",
         *([F.col("wd").alias("wd_lag_1")] if "wd" in spec.categorical else []),
@@ -122,7 +122,7 @@ def build_windows(
     continuous = (
         (F.col("_n") == size)
         & (F.col("_first") == F.col(t) - _hours(size - 1))
-        & (F.col("target_time") == F.col(t) + ONE_HOUR)
+        & (F.col("target_time") == F.col(t) + _hours(1))
     )
     cols = [s, F.col(t).alias("window_end"), "target_time", "y_true",
             *(["wd_lag_1"] if "wd" in spec.categorical else []), "w"]
@@ -138,7 +138,9 @@ def flatten_lags(windows: DataFrame, spec: PanelSpec = PanelSpec(), size: int |
     size = size or spec.window
     measures = measures or spec.numeric
     lag_cols = [
-        F.col("w")[size - k][m].alias(f"{m}_lag_{k}") for m in measures for k in range(size, 0, -1)
+        # get(): NULL instead of an ANSI error if a pushed-down predicate is
+        # evaluated on a not-yet-filtered short window
+        F.get(F.col("w"), size - k)[m].alias(f"{m}_lag_{k}") for m in measures for k in range(size, 0, -1)
     ]
     base = [c for c in windows.columns if c != "w" or keep_window]
     return windows.select(*base, *lag_cols)

@@ -52,8 +52,10 @@ FROM preds GROUP BY model""")
 def q_baseline_metrics(spark, sf_dir):
     """X1 core: causal impute -> 24 h windows -> persistence and rolling-mean
     baselines -> rmse / mae on the chronological validation split."""
+    from hourcast.operators.features import with_arrays
+
     p = prepare(spark, sf_dir)
-    preds = MT.predictions_long(p.valid_windows, baseline_models(Win()))
+    preds = MT.predictions_long(with_arrays(p.valid_windows, ["pm25"]), baseline_models(Win()))
     return normalise(MT.rmse_mae(preds))
 
 
@@ -83,7 +85,7 @@ def _supplied(p):
     from hourcast.operators.windows import build_windows, flatten_lags
 
     raw = build_windows(p.panel, p.spec).where(F.col("window_end") > ts_lit(p.cutoff))
-    flat = flatten_lags(raw, p.spec, measures=(*MEASURES, "wd"))
+    flat = flatten_lags(raw.drop("wd_lag_1"), p.spec, measures=(*MEASURES, "wd"))
     t = F.col("window_end")
     return flat.select(
         F.concat_ws("_", "station", F.date_format(t, "yyyyMMddHH")).alias("id"), "station",
@@ -94,15 +96,19 @@ def _supplied(p):
 
 
 def _supplied_sql() -> str:
-    """DuckDB: the supplied windows above (``sup``), built from the raw panel."""
+    """DuckDB: the supplied windows (``sup``: id, station, calendar parts of
+    lag 1, pm25_lag_1) and their lag rows (``supx``: id, pos, raw values),
+    built from the raw panel."""
     raw_src = "(SELECT *, pm25 AS pm25_raw FROM panel) rp"
-    lags = ", ".join(f"{O.lag(m, k)} AS {m}_lag_{k}" for m in (*MEASURES, "wd") for k in range(24, 0, -1))
-    return (O.windows({"_l": "1"}, source=raw_src).replace("SELECT *, lead", f"SELECT *, {lags}, lead", 1)
-            + """,
-sup AS (SELECT station || '_' || strftime(window_end, '%Y%m%d%H') AS id, station,
+    return (O.windows(source=raw_src) + """,
+sup AS (SELECT station || '_' || strftime(window_end, '%Y%m%d%H') AS id, station, window_end AS _end,
                year(window_end) AS year_lag_1, month(window_end) AS month_lag_1,
-               day(window_end) AS day_lag_1, hour(window_end) AS hour_lag_1, * EXCLUDE (station)
-        FROM win WHERE window_end > (SELECT cutoff FROM cut))""")
+               day(window_end) AS day_lag_1, hour(window_end) AS hour_lag_1, pm25 AS pm25_lag_1
+        FROM win WHERE window_end > (SELECT cutoff FROM cut)),
+supx AS (SELECT s.id, 23 - datediff('hour', p.datetime, s._end) AS pos, """
+            + ", ".join(f"p.{m}" for m in (*MEASURES, "wd")) + """
+         FROM sup s JOIN panel p ON p.station = s.station
+          AND p.datetime BETWEEN s._end - INTERVAL 23 HOUR AND s._end)""")
 
 
 def _explode_sql(win: str = "win", src: str = "imp", cols=(*MEASURES, "wd")) -> str:

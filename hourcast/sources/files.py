@@ -103,11 +103,10 @@ def submission(sample: DataFrame, preds: DataFrame, id_col: str = "id", value: s
     """Sample ids left-joined to clipped predictions; the caller's order
     column (if any) is kept; missing predictions raise at execution."""
     j = sample.join(preds.select(id_col, F.greatest(F.col(value), F.lit(0.0)).alias("PM2.5")), id_col, "left")
-    checked = j.withColumn(
-        "PM2.5",
-        F.when(F.col("PM2.5").isNull(), F.raise_error(F.concat(F.lit("missing prediction for id "), F.col(id_col))).cast("double"))
-        .otherwise(F.col("PM2.5")),
-    )
+    p = F.col("`PM2.5`")
+    checked = j.select(*[c for c in sample.columns], F.when(
+        p.isNull(), F.raise_error(F.concat(F.lit("missing prediction for id "), F.col(id_col))).cast("double")
+    ).otherwise(p).alias("PM2.5"))
     if expected_rows is not None:
         n = sample.count()
         if n != expected_rows:
