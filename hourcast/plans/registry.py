@@ -72,4 +72,4 @@ def r6(c: Column, name: str) -> Column:
 
 
 # Import the query modules so their decorators run.
-from hourcast.plans import queries_core, queries_features, queries_supplied  # noqa: E402,F401
+from hourcast.plans import queries_core, queries_features, queries_reports, queries_supplied  # noqa: E402,F401
