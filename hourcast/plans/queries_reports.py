@@ -322,6 +322,8 @@ def q_k1(spark, sf_dir):
     rows = []
     for obj in K.OBJECTIVES:
         best, score = K.select_additive_correction(pr, obj)
+        if best is None:  # no finite score (e.g. no severe rows): no selection, as in the oracle
+            continue
         rows.append((obj, best["threshold"], best["offset"], best["slope"], score))
     return normalise(spark.createDataFrame(rows, "objective string, threshold double, offset double, slope double, score double"))
 
