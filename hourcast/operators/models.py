@@ -11,3 +11,129 @@ def station_codes(df: DataFrame, series: str = "station") -> DataFrame:
     Ranked on the distinct-series table only."""
     d = df.select(series).distinct()
     return d.select(series, (F.dense_rank().over(Window.orderBy(series)) - 1).cast("double").alias("station_code"))
+
+
+# --------------------------------------------------------------------------- feature matrices
+
+from collections.abc import Sequence  # noqa: E402
+
+from pyspark.ml import Pipeline  # noqa: E402
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler  # noqa: E402
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+ID_COLS = ("station", "window_end", "target_time", "y_true", "id", "target_pm25", "w", "model", "prediction")
+CATEGORICAL = ("station", "wd_lag_1", "station_wd_lag1")
+
+
+def feature_columns(df: DataFrame, exclude: Sequence[str] = ID_COLS) -> tuple[list[str], list[str]]:
+    """numeric = numeric dtype minus ids / categoricals; categorical =
+    the present subset of (station, wd_lag_1, station_wd_lag1).  Schema only."""
+    cat = [c for c in CATEGORICAL if c in df.columns]
+    num = [f.name for f in df.schema.fields
+           if f.name not in set(exclude) | set(cat) and isinstance(f.dataType, T.NumericType)]
+    return num, cat
+
+
+def scaler_stats(train: DataFrame, numeric: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """Population mean / std of each numeric column on training rows (one aggregation)."""
+    aggs = []
+    for c in numeric:
+        aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}")]
+    r = train.agg(*aggs).first()
+    return {c: (r[f"m_{c}"] or 0.0, r[f"s_{c}"] or 0.0) for c in numeric}
+
+
+def scaled(df: DataFrame, stats: dict, keep: Sequence[str]) -> DataFrame:
+    """(x - mean) / std (std 0 -> 1); missing -> 0 (= the training mean)."""
+    cols = [F.coalesce((F.col(c) - F.lit(m)) / F.lit(s if s else 1.0), F.lit(0.0)).alias(c) for c, (m, s) in stats.items()]
+    return df.select(*keep, *cols)
+
+
+def encoder(categorical: Sequence[str], numeric: Sequence[str]) -> Pipeline:
+    """StringIndexer(keep) -> OneHotEncoder(dropLast): unseen -> all zeros;
+    then one feature vector."""
+    cat = list(categorical)
+    stages = []
+    if cat:
+        stages.append(StringIndexer(inputCols=cat, outputCols=[f"{c}_idx" for c in cat], handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=[f"{c}_idx" for c in cat], outputCols=[f"{c}_oh" for c in cat], dropLast=True))
+    stages.append(VectorAssembler(inputCols=[*numeric, *[f"{c}_oh" for c in cat]], outputCol="features"))
+    return Pipeline(stages=stages)
+
+
+def ridge(train: DataFrame, alpha: float = 10.0, weight_col: str | None = None, label: str = "y_true") -> LinearRegression:
+    """L2 regression with unpenalised intercept matching
+    min ||y - Xw - b||^2 + alpha ||w||^2 (weighted variant with weightCol):
+    regParam = alpha * sigma_y / sum(w) with population (weighted) sigma_y."""
+    if weight_col:
+        r = train.agg(F.sum(weight_col).alias("sw"), F.sum(F.col(weight_col) * F.col(label)).alias("swy"),
+                      F.sum(F.col(weight_col) * F.col(label) * F.col(label)).alias("swyy")).first()
+        mean = r["swy"] / r["sw"]
+        sigma = max(r["swyy"] / r["sw"] - mean * mean, 0.0) ** 0.5
+        n = r["sw"]
+    else:
+        r = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("s")).first()
+        sigma, n = r["s"] or 1.0, r["n"]
+    lr = LinearRegression(featuresCol="features", labelCol=label, predictionCol="prediction", elasticNetParam=0.0,
+                          regParam=alpha * sigma / n, standardization=False, solver="normal", fitIntercept=True)
+    if weight_col:
+        lr = lr.setWeightCol(weight_col)
+    return lr
+
+
+def random_forest(seed: int = 42, trees: int = 20, depth: int = 6) -> RandomForestRegressor:
+    """Sqrt feature subsets, 0.75 row sample, min 3 rows per leaf (smaller
+    tree count / depth than the reference by default, for run time)."""
+    return RandomForestRegressor(featuresCol="features", labelCol="y_true", numTrees=trees, maxDepth=depth,
+                                 minInstancesPerNode=3, featureSubsetStrategy="sqrt", subsamplingRate=0.75, seed=seed)
+
+
+def gradient_boosting(seed: int = 42, iters: int = 20, depth: int = 4, step: float = 0.1) -> GBTRegressor:
+    """Boosted trees with row / column sampling (a stand-in for the
+    reference's boosting libraries; metric parity is not claimed)."""
+    return GBTRegressor(featuresCol="features", labelCol="y_true", maxIter=iters, maxDepth=depth, stepSize=step,
+                        subsamplingRate=0.8, featureSubsetStrategy="0.8", minInstancesPerNode=3, seed=seed)
+
+
+def fit_predict(estimator, train: DataFrame, valid: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
+                keys: Sequence[str] = ("station", "window_end", "target_time", "y_true"), name: str = "model",
+                extra_train_cols: Sequence[str] = (), label_fn=None, inverse_fn=None, clip: bool = True):
+    """Fit encoder + estimator on train (scaler statistics from train only),
+    predict valid -> long predictions (clipped at 0).  Returns (preds, model, feature names)."""
+    stats = scaler_stats(train, numeric)
+    keep = list(dict.fromkeys([*keys, *categorical, *extra_train_cols]))
+    tr = scaled(train, stats, keep)
+    va = scaled(valid, stats, list(dict.fromkeys([*keys, *categorical])))
+    if label_fn is not None:
+        tr = tr.withColumn("y_true", label_fn(F.col("y_true")))
+    enc = encoder(categorical, list(numeric)).fit(tr)
+    model = estimator.fit(enc.transform(tr))
+    out = model.transform(enc.transform(va))
+    p = F.col("prediction")
+    if inverse_fn is not None:
+        p = inverse_fn(p)
+    if clip:
+        p = F.greatest(p, F.lit(0.0))
+    names = feature_names(enc, numeric, categorical)
+    return out.select(*keys, F.lit(name).alias("model"), p.alias("prediction")), model, names
+
+
+def feature_names(enc, numeric: Sequence[str], categorical: Sequence[str]) -> list[tuple[str, str]]:
+    """(vector slot name, source column) for importances (one-hot levels map back to their column)."""
+    out = [(c, c) for c in numeric]
+    if categorical:
+        si = enc.stages[0]
+        for c, labels in zip(categorical, si.labelsArray):
+            out += [(f"{c}={v}", c) for v in labels]  # dropLast removes the 'keep' bucket only
+    return out
+
+
+def feature_importance(model, names: list[tuple[str, str]], spark, name: str) -> DataFrame:
+    """(model, feature, importance) summed back to source columns, sorted desc."""
+    imp = model.featureImportances.toArray().tolist()
+    agg: dict[str, float] = {}
+    for (slot, src), v in zip(names, imp):
+        agg[src] = agg.get(src, 0.0) + float(v)
+    rows = sorted(agg.items(), key=lambda kv: (-kv[1], kv[0]))
+    return spark.createDataFrame([(name, f, v) for f, v in rows], "model string, feature string, importance double")
