@@ -215,3 +215,60 @@ def q_city(spark, sf_dir):
     w = prepare(spark, sf_dir).windows
     out = city_context(w)
     return normalise(out.drop("w", "target_time", "y_true", "wd_lag_1"))
+
+
+# --------------------------------------------------------------------------- A14 / J3 / J7
+
+_A14_SQL = _S7_SQL + """,
+roll AS (SELECT s.id, avg(x.pm25) AS pred FROM sup s JOIN supx x ON x.id = s.id WHERE x.pos >= 21 GROUP BY s.id),
+j AS (SELECT coalesce(a.id, b.id) AS id, a.pred AS a, b.pred AS b FROM sub a FULL JOIN roll b ON a.id = b.id)
+SELECT count(*) AS rows, count(*) FILTER (WHERE abs(a - b) > 1e-9) AS changed_rows,
+       round(avg(abs(a - b)), 6) AS mean_abs_diff, round(max(abs(a - b)), 6) AS max_abs_diff,
+       count(*) FILTER (WHERE a IS NULL) AS missing_new, count(*) FILTER (WHERE b IS NULL) AS missing_ref,
+       round(avg(a), 6) AS mean_new, round(avg(b), 6) AS mean_ref, round(min(a), 6) AS min_new, round(max(a), 6) AS max_new
+FROM j"""
+
+
+@query("submission_diff", _A14_SQL)
+def q_a14(spark, sf_dir):
+    """Persistence submission vs a 3 h raw-mean submission of the same
+    supplied windows: changed rows, mean / max abs difference, missing, stats."""
+    from hourcast.sources.files import persistence_submission
+    from hourcast.operators.metrics import submission_diff
+
+    p = prepare(spark, sf_dir)
+    sup = _supplied(p)
+    new = persistence_submission(sup).withColumnRenamed("PM2.5", "prediction")
+    lags = [F.col(f"pm25_lag_{k}") for k in (1, 2, 3)]
+    nn = sum((F.when(c.isNotNull(), 1).otherwise(0) for c in lags), F.lit(0))
+    tot = sum((F.coalesce(c, F.lit(0.0)) for c in lags), F.lit(0.0))
+    ref = sup.select("id", F.when(nn > 0, tot / nn).alias("prediction"))
+    return normalise(submission_diff(new, ref))
+
+
+@query("attach_predictions", O.prelude() + O.windows({"rm3": "avg(pm25) OVER f3"}) + """
+SELECT w.station, w.window_end, round(w.y_true, 6) AS y_true, round(w.pm25, 6) AS persistence, round(a.rm3, 6) AS rolling_mean_3h
+FROM win w LEFT JOIN (SELECT station, window_end, rm3 FROM win WHERE window_end > (SELECT cutoff FROM cut)) a
+  ON a.station = w.station AND a.window_end = w.window_end""")
+def q_j3(spark, sf_dir):
+    """LEFT one-to-one join of an extra prediction column (validation-only
+    rolling mean) onto all windows; uniqueness of the right side is asserted."""
+    from hourcast.functions import arrays as A
+    from hourcast.operators.features import Win, with_arrays
+    from hourcast.operators.joins import attach_predictions
+
+    p = prepare(spark, sf_dir)
+    w = with_arrays(p.windows, ["pm25"])
+    win = Win()
+    base = w.select("station", "window_end", "y_true", win.lag("pm25", 1).alias("persistence"))
+    extra = with_arrays(p.valid_windows, ["pm25"]).select(
+        "station", "window_end", A.mean(win.last("pm25", 3)).alias("rolling_mean_3h"))
+    return normalise(attach_predictions(base, extra, ["station", "window_end"]))
+
+
+@query("distinct_times", O.prelude() + O.windows() + "\nSELECT DISTINCT target_time FROM win")
+def q_j7(spark, sf_dir):
+    """Distinct target times of the windows."""
+    from hourcast.operators.joins import distinct_times
+
+    return normalise(distinct_times(prepare(spark, sf_dir).windows, "target_time"))
