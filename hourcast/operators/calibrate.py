@@ -101,3 +101,54 @@ def correction_features(base) -> list:
     out += [(b >= t).cast("double").alias(f"base_gt_{t}") for t in (75, 100, 125, 150)]
     out += [F.greatest(b - t, F.lit(0.0)).alias(f"excess_{t}") for t in (75, 100, 125, 150)]
     return out
+
+
+# --------------------------------------------------------------------------- P17 Box-Cox
+
+def boxcox_expr(x, lam: float):
+    x = F.col(x) if isinstance(x, str) else x
+    return F.log(x) if abs(lam) < 1e-12 else (F.pow(x, F.lit(lam)) - 1.0) / F.lit(lam)
+
+
+def boxcox_fit(df: DataFrame, col: str = "y_true", shift: float = 1.0, lo: float = -2.0, hi: float = 2.0,
+               points: int = 41, passes: int = 5) -> dict:
+    """Box-Cox lambda for ``col + shift`` by maximum likelihood
+    (LLF = (lam-1) sum ln x - n/2 ln var_pop(boxcox(x, lam))).  Each pass is
+    one aggregation over a lambda grid (two sums per grid point); the grid is
+    refined around the best point.  Then the mean / population std of the
+    transformed values (for standardising)."""
+    x = F.col(col) + F.lit(shift)
+    base = df.select(x.alias("_x")).where(F.col("_x") > 0)
+    best = None
+    for _ in range(passes):
+        grid = np.linspace(lo, hi, points).tolist()
+        aggs = [F.count(F.lit(1)).alias("n"), F.sum(F.log("_x")).alias("sl")]
+        for i, lam in enumerate(grid):
+            b = boxcox_expr("_x", lam)
+            aggs += [F.sum(b).alias(f"s{i}"), F.sum(b * b).alias(f"q{i}")]
+        r = base.agg(*aggs).first()
+        n = r["n"]
+        llf = []
+        for i, lam in enumerate(grid):
+            var = r[f"q{i}"] / n - (r[f"s{i}"] / n) ** 2
+            llf.append((lam - 1) * r["sl"] - n / 2 * math.log(var) if var > 0 else -math.inf)
+        k = int(np.argmax(llf))
+        best = grid[k]
+        step = grid[1] - grid[0]
+        lo, hi = best - step, best + step
+    b = boxcox_expr("_x", best)
+    m = base.agg(F.avg(b).alias("m"), F.stddev_pop(b).alias("s")).first()
+    return {"lambda": best, "shift": shift, "mean": m["m"], "std": m["s"] or 1.0}
+
+
+def boxcox_transform(y, fit: dict):
+    y = F.col(y) if isinstance(y, str) else y
+    return (boxcox_expr(y + F.lit(fit["shift"]), fit["lambda"]) - F.lit(fit["mean"])) / F.lit(fit["std"])
+
+
+def boxcox_inverse(z, fit: dict):
+    z = F.col(z) if isinstance(z, str) else z
+    b = z * F.lit(fit["std"]) + F.lit(fit["mean"])
+    lam = fit["lambda"]
+    x = F.exp(b) if abs(lam) < 1e-12 else F.pow(F.greatest(b * lam + 1.0, F.lit(0.0)), F.lit(1.0 / lam))
+    return x - F.lit(fit["shift"])

@@ -154,3 +154,52 @@ def q_w14(spark, sf_dir):
     return out.select("station", "window_end", F.round("y_true_std", 6).alias("y_true_std"),
                       F.size("seq").alias("steps"), F.size(F.col("seq")[0]).alias("features"),
                       F.round(F.aggregate(F.flatten("seq"), F.lit(0.0), lambda a, x: a + x.cast("double")), 3).alias("seq_sum"))
+
+
+@query("boxcox_ridge")
+def q_r6_boxcox(spark, sf_dir):
+    """P17 + R6: Ridge on the standardised Box-Cox(y + 1) target, predictions
+    inverted; lambda by grid-refined maximum likelihood on training rows."""
+    from hourcast.operators import calibrate as K
+
+    _, tr, va, num, cat = _frames(spark, sf_dir)
+    fit = K.boxcox_fit(tr)
+    trz = tr.withColumn("y_true", K.boxcox_transform("y_true", fit))
+    pr, _, _ = R.fit_predict(R.ridge(trz), tr, va, num, cat, name="ridge_boxcox",
+                             label_fn=lambda y: K.boxcox_transform(y, fit),
+                             inverse_fn=lambda p: K.boxcox_inverse(p, fit))
+    out = MT.severe_score(pr)
+    return normalise(out.select("*", F.lit(round(fit["lambda"], 6)).alias("lambda")))
+
+
+@query("calibration_models")
+def q_k7(spark, sf_dir):
+    """K5 residual Ridge (alpha 25, weights 1 + 0.5[y>=75] + 4[y>=150]) and K6
+    target Ridge on K4 correction features of the persistence base plus the
+    other baseline columns; fitted on the early half of validation, scored
+    (with the reference row) on the late half: K7."""
+    from hourcast.operators import calibrate as K
+    from hourcast.plans.queries_reports import MODELS, preds_of
+
+    long = preds_of(spark, sf_dir)
+    wide = E.wide(long, MODELS, KEYS)
+    feats = wide.select(*KEYS, *K.correction_features("persistence"),
+                        *[F.col(m).alias(f"model_{m}") for m in MODELS if m != "persistence"])
+    split = late_split_time(feats, "target_time", 0.5)
+    early = feats.where(F.col("target_time") <= ts_lit(split))
+    late = feats.where(F.col("target_time") > ts_lit(split))
+    num = [c for c in feats.columns if c not in KEYS]
+    w = severe_weights("y_true", 0.5, 4.0)
+    # weights from the true target, label = residual (computed before any scaling)
+    e_res = early.withColumn("_w", w).withColumn("y_true", F.col("y_true") - F.col("base_pred"))
+    res_est = R.ridge(e_res, alpha=25.0, weight_col="_w")
+    pr_res, _, _ = R.fit_predict(res_est, e_res, late, num, [], name="residual_ridge", extra_train_cols=["_w"],
+                                 clip=False)
+    pr_res = pr_res.join(late.select(*KEYS, "base_pred"), KEYS).select(
+        *KEYS, "model", F.greatest(F.col("prediction") + F.col("base_pred"), F.lit(0.0)).alias("prediction"))
+    # (late rows keep their true y_true key; only the early training label was replaced)
+    e_t = early.withColumn("_w", w)
+    pr_t, _, _ = R.fit_predict(R.ridge(e_t, alpha=25.0, weight_col="_w"), e_t, late, num, [], name="target_ridge",
+                               extra_train_cols=["_w"])
+    ref = late.select(*KEYS, F.lit("reference_persistence").alias("model"), F.col("base_pred").alias("prediction"))
+    return normalise(MT.severe_score(pr_res.unionByName(pr_t).unionByName(ref)))
