@@ -64,9 +64,10 @@ def amax(a: Column) -> Column:
     return F.array_max(a)
 
 
-def quantile(a: Column, q: float) -> Column:
-    """Linear-interpolation quantile of the non-NULL elements."""
-    s = F.array_sort(nonnull(a))
+def quantile(a: Column, q: float, presorted: bool = False) -> Column:
+    """Linear-interpolation quantile of the non-NULL elements (``presorted``:
+    ``a`` is already the sorted non-NULL array, e.g. a column made once)."""
+    s = a if presorted else F.array_sort(nonnull(a))
     n = F.size(s)
     h = (n - 1).cast("double") * F.lit(float(q))
     lo = F.floor(h).cast("int")

@@ -46,14 +46,25 @@ class Win:
     def last(self, m: str, k: int) -> Column:
         return A.tail(self.v(m), k, self.size)
 
+    def sorted_last(self, m: str, k: int) -> Column:
+        """Sorted non-NULL newest ``k`` values (column made by :func:`with_sorted`)."""
+        return F.col(f"_s_{m}_{k}")
+
 
 def with_arrays(windows: DataFrame, measures, col: str = "w") -> DataFrame:
     """Add one value array ``_a_<m>`` per measure (computed once per row)."""
     return windows.select("*", *[A.field(F.col(col), m).alias(f"_a_{m}") for m in measures])
 
 
+def with_sorted(df: DataFrame, measures, sizes=MEDIAN_SIZES, size: int = 24) -> DataFrame:
+    """Add ``_s_<m>_<k>``: sorted non-NULL newest-k values, one sort per
+    (measure, k) shared by the median and quartiles (needs ``_a_<m>``)."""
+    return df.select("*", *[F.array_sort(A.nonnull(A.tail(F.col(f"_a_{m}"), k, size))).alias(f"_s_{m}_{k}")
+                            for m in measures for k in sizes])
+
+
 def drop_arrays(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith("_a_")])
+    return df.drop(*[c for c in df.columns if c.startswith("_a_") or c.startswith("_s_")])
 
 
 def calendar_features(df: DataFrame, time: str = "window_end") -> list[Column]:
@@ -135,9 +146,11 @@ def rich_rolling(win: Win, m: str) -> list[Column]:
         out += [A.mean(a).alias(f"{p}_mean"), A.std(a).alias(f"{p}_std"),
                 A.amin(a).alias(f"{p}_min"), A.amax(a).alias(f"{p}_max")]
         if k in MEDIAN_SIZES:
-            out.append(A.quantile(a, 0.5).alias(f"{p}_median"))
+            out.append(A.quantile(win.sorted_last(m, k), 0.5, presorted=True).alias(f"{p}_median"))
         if k == win.size:
-            out += [A.quantile(a, 0.25).alias(f"{p}_q25"), A.quantile(a, 0.75).alias(f"{p}_q75")]
+            srt = win.sorted_last(m, k)
+            out += [A.quantile(srt, 0.25, presorted=True).alias(f"{p}_q25"),
+                    A.quantile(srt, 0.75, presorted=True).alias(f"{p}_q75")]
         out.append(A.dot(a, A.slope_weights(k)).alias(f"{p}_slope"))
     L = win.lag
     out += [
@@ -205,7 +218,7 @@ def rich_frame(windows: DataFrame, spec: PanelSpec = PanelSpec(), size: int | No
     for m in spec.numeric:
         cols += rich_rolling(win, m)
     cols += rain_sums(win) + rich_interactions(win, spec.series)
-    feats = drop_arrays(with_arrays(windows, spec.numeric).select("*", *cols))
+    feats = drop_arrays(with_sorted(with_arrays(windows, spec.numeric), spec.numeric, size=win.size).select("*", *cols))
     doubles = {f.name for f in feats.schema.fields if f.dataType.simpleString() == "double"}
     return feats.select(*[finite_or_null(c).alias(c) if c in doubles else F.col(c) for c in feats.columns])
 

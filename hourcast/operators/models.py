@@ -89,7 +89,7 @@ def random_forest(seed: int = 42, trees: int = 20, depth: int = 6) -> RandomFore
                                  minInstancesPerNode=3, featureSubsetStrategy="sqrt", subsamplingRate=0.75, seed=seed)
 
 
-def gradient_boosting(seed: int = 42, iters: int = 20, depth: int = 4, step: float = 0.1) -> GBTRegressor:
+def gradient_boosting(seed: int = 42, iters: int = 10, depth: int = 4, step: float = 0.1) -> GBTRegressor:
     """Boosted trees with row / column sampling (a stand-in for the
     reference's boosting libraries; metric parity is not claimed)."""
     return GBTRegressor(featuresCol="features", labelCol="y_true", maxIter=iters, maxDepth=depth, stepSize=step,
