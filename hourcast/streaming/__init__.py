@@ -1,0 +1,5 @@
+"""Streaming entry points.
+
+Intentionally empty: the surveyed workflow is batch-only (no watermarks, state
+or late data), so no streaming operator is part of parity.
+"""
