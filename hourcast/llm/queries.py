@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from hourcast.llm import exact_dedup, mixing
+from hourcast.llm.bpe import op3_byte_bpe
 from hourcast.llm.embedding_dedup import op7_embedding_near_dedup
 from hourcast.llm.exact_dedup import op9_exact_dedup
 from hourcast.llm.language_id import op6_language_id
@@ -15,7 +16,7 @@ from hourcast.llm.toxicity import op8_toxicity
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_minhash_near_dedup, op4_secret_scan, op5_mixing, op6_language_id, op7_embedding_near_dedup,
+        op1_minhash_near_dedup, op3_byte_bpe, op4_secret_scan, op5_mixing, op6_language_id, op7_embedding_near_dedup,
         op8_toxicity, op9_exact_dedup, op10_license_scan,
     )
 }
