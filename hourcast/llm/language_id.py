@@ -174,15 +174,17 @@ def build_filters(languages: list[str], counts: np.ndarray) -> LanguageModel:
     return LanguageModel(languages, masks.astype(np.min_scalar_type((1 << len(languages)) - 1)), filled ** POSITIONS)
 
 
-def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """Per row of ``docs(doc_id, text)``: doc_id, lang_pred, score (0 to 1)."""
+def identify(docs: DataFrame, model: LanguageModel, columns: tuple[str, ...] | list[str] = ("doc_id",),
+             text: str = "text") -> DataFrame:
+    """Rows of ``docs`` with ``columns``, lang_pred and lang_score (0 to 1)."""
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.masks, model.false_rates))  # 1 to 8 MB whatever the input
+    columns = list(columns)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = LanguageModel(*shared.value)
         for batch in batches:
-            texts = [t or b"" for t in batch.column(1).to_pylist()]
-            letters = batch.column(2).to_pylist()
+            texts = [t or b"" for t in batch.column(len(columns)).to_pylist()]
+            letters = batch.column(len(columns) + 1).to_pylist()
             pred, score = ["und"] * len(texts), [0.0] * len(texts)
             if m.languages and texts:
                 s = m.score(texts)
@@ -191,19 +193,21 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
                     if ok:
                         pred[i], score[i] = m.languages[k], float(s[i, k])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"]
+                [*(batch.column(i) for i in range(len(columns))), pa.array(pred, pa.string()), pa.array(score, pa.float64())],
+                [*columns, "lang_pred", "lang_score"],
             )
 
+    kept = docs.select(*columns)
     return docs.select(
-        "doc_id", F.col("text").cast("binary").alias("text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letter")
-    ).mapInArrow(predict, "doc_id long, lang_pred string, score double")
+        *columns, F.col(text).cast("binary").alias("_text"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letter")
+    ).mapInArrow(predict, kept.schema.add("lang_pred", "string").add("lang_score", "double"))
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_language_model(docs.where(~F.coalesce(held_out(F.col("doc_id"), 5, 0), F.lit(False))))
     out = identify(docs, model)
-    return out.select("doc_id", F.coalesce(held_out(F.col("doc_id"), 5, 0), F.lit(False)).alias("held_out"), "lang_pred", "score")
+    return out.select("doc_id", F.coalesce(held_out(F.col("doc_id"), 5, 0), F.lit(False)).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
 def crc_remainder(doc_id: int, of: int) -> int:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from hourcast.llm.common import materialise, table
 
 ROUNDS = 12
-ALPHA = {"source": 0.5, "lang": 0.7, "topic": 0.7}
+ALPHA = {"source": 0.8, "lang": 0.8, "topic": 0.8}
 SEED = 20240
 #: Cells are broadcast to the documents up to this many (about 100 bytes each); beyond it they are joined by a shuffle.
 BROADCAST_CELLS = 20_000

@@ -11,13 +11,24 @@ from hourcast.llm.license_scan import op10_license_scan
 from hourcast.llm.minhash_dedup import op1_minhash_near_dedup
 from hourcast.llm.mixing import op5_mixing
 from hourcast.llm.secrets_scan import op4_secret_scan
+from hourcast.llm.suffix_dedup import op2_suffix_dedup
 from hourcast.llm.toxicity import op8_toxicity
 
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_minhash_near_dedup, op3_byte_bpe, op4_secret_scan, op5_mixing, op6_language_id, op7_embedding_near_dedup,
+        op1_minhash_near_dedup, op2_suffix_dedup, op3_byte_bpe, op4_secret_scan, op5_mixing, op6_language_id, op7_embedding_near_dedup,
         op8_toxicity, op9_exact_dedup, op10_license_scan,
     )
 }
 ORACLE = {"op5_mixing": mixing.SQL, "op9_exact_dedup": exact_dedup.SQL}
+
+
+def pipeline(spark, sf_dir):
+    """The stages of ``corpus_pipeline.py`` over ``documents``."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline
