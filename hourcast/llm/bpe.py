@@ -37,7 +37,7 @@ from hourcast.llm.common import shared_path, table
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LONG_WORD = 200
 #: Bytes of text of a chunk, and chunks of which one group of a word's places may hold the numbers.
-CHUNK_BYTES = 64 << 20
+CHUNK_BYTES = 40 << 20
 PLACES = 1024
 NONE = 2**31 - 1
 _MULTIPLIERS = (7919, 613, 31, 1009)
@@ -192,13 +192,13 @@ def bind(value: Column, f) -> Column:
 
 def pack(numbers: np.ndarray) -> bytes:
     """Compressed 32-bit numbers, byte planes apart."""
-    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    planes = numbers.astype("<i4", copy=False).view(np.uint8).reshape(-1, 4).T
     return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def unpack(blob: bytes) -> np.ndarray:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
 
 
 def chunked(docs: DataFrame, pattern: str) -> DataFrame:
@@ -216,9 +216,10 @@ def chunked(docs: DataFrame, pattern: str) -> DataFrame:
 
         def row(ids: list, lengths: list[int], parts: list[np.ndarray], numbers: Numbers) -> pa.RecordBatch:
             seq = np.concatenate(parts)
+            parts.clear()
             order = np.argsort(-np.bincount(seq, minlength=len(numbers)), kind="stable")  # frequent words get small numbers
-            place = np.empty(len(order), np.int64)
-            place[order] = np.arange(len(order))
+            place = np.empty(len(order), np.int32)
+            place[order] = np.arange(len(order), dtype=np.int32)
             words = list(numbers)
             return pa.RecordBatch.from_arrays(
                 [
@@ -232,10 +233,10 @@ def chunked(docs: DataFrame, pattern: str) -> DataFrame:
         for batch in batches:
             for i, t in zip(batch.column(0), batch.column(1), strict=True):
                 text = t.as_py() or ""
-                seq = np.fromiter(map(numbers.__getitem__, find(text)), np.int64)
+                found = find(text)
                 ids.append(i.as_py())
-                lengths.append(len(seq))
-                parts.append(seq.astype(np.int32))
+                lengths.append(len(found))
+                parts.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
                 size += len(text)
                 if size >= CHUNK_BYTES:
                     yield row(ids, lengths, parts, numbers)
@@ -260,8 +261,19 @@ def long_ids(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     return words.select("word", "places").mapInArrow(merge, "places array<struct<chunk: bigint, n: int>>, ids array<int>")
 
 
+def sequences(seq: np.ndarray, lengths: list[int], sizes: np.ndarray, starts: np.ndarray, values: np.ndarray) -> Iterator[np.ndarray]:
+    """Each document's ids, one at a time: word w's are ``values[starts[w]:starts[w] + sizes[w]]``."""
+    at = 0
+    for n in lengths:
+        s = seq[at:at + n]
+        at += n
+        k = sizes[s]
+        ends = np.cumsum(k)
+        yield values[np.repeat(starts[s] - ends + k, k) + np.arange(ends[-1])] if n else values[:0]
+
+
 def assembled(chunks: DataFrame, ids: DataFrame, schema: str, finish) -> DataFrame:
-    """Rows that ``finish(doc_ids, id arrays)`` makes of each chunk, given ``ids(chunk, n, ids)``."""
+    """Rows that ``finish(doc_ids, iterator of id arrays)`` makes of each chunk, given ``ids(chunk, n, ids)``."""
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
@@ -272,15 +284,7 @@ def assembled(chunks: DataFrame, ids: DataFrame, schema: str, finish) -> DataFra
         sizes, starts = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
         sizes[at], starts[at] = np.diff(offsets), offsets[:-1]
         for row in left.select(["doc_ids", "lengths", "sequence"]).to_pylist():
-            seq = unpack(row["sequence"])
-            ends = np.cumsum([0, *row["lengths"]])
-            docs = []
-            for a, b in zip(ends[:-1], ends[1:], strict=True):
-                s = seq[a:b]
-                n = sizes[s]
-                skip = np.cumsum(n) - n
-                docs.append(values[np.repeat(starts[s] - skip, n) + np.arange(n.sum())] if len(s) else np.zeros(0, np.int32))
-            out.append(finish(row["doc_ids"], docs))
+            out.append(finish(row["doc_ids"], sequences(unpack(row["sequence"]), row["lengths"], sizes, starts, values)))
         return pa.concat_tables(out)
 
     return chunks.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInArrow(join, schema)
@@ -326,8 +330,8 @@ def decode_ids(ids: Column, path: str | None = None) -> Column:
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``(doc_id, ids array<int>)`` of ``docs(doc_id, text)``."""
 
-    def finish(doc_ids: list, docs: list[np.ndarray]) -> pa.Table:
-        return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "ids": pa.array(docs, pa.list_(pa.int32()))})
+    def finish(doc_ids: list, docs: Iterator[np.ndarray]) -> pa.Table:
+        return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "ids": pa.array(list(docs), pa.list_(pa.int32()))})
 
     return encode_documents(docs, finish, "doc_id long, ids array<int>", path)
 
@@ -337,14 +341,17 @@ def token_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     pieces = pieces_of(path)
     shared = docs.sparkSession.sparkContext.broadcast(pieces)  # the vocabulary, whatever the input
 
-    def finish(doc_ids: list, docs: list[np.ndarray]) -> pa.Table:
-        decoded = [b"".join(map(shared.value.__getitem__, ids.tolist())) for ids in docs]
+    def finish(doc_ids: list, docs: Iterator[np.ndarray]) -> pa.Table:
+        n, ids_sha, decoded_sha, n_decoded = [], [], [], []
+        for ids in docs:
+            decoded = b"".join(map(shared.value.__getitem__, ids.tolist()))
+            n.append(len(ids))
+            ids_sha.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
+            decoded_sha.append(hashlib.sha256(decoded).hexdigest())
+            n_decoded.append(len(decoded))
         return pa.table({
-            "doc_id": pa.array(doc_ids, pa.int64()),
-            "n_tokens": pa.array([len(ids) for ids in docs], pa.int64()),
-            "ids_sha256": [hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest() for ids in docs],
-            "decoded_sha256": [hashlib.sha256(d).hexdigest() for d in decoded],
-            "n_decoded": pa.array([len(d) for d in decoded], pa.int64()),
+            "doc_id": pa.array(doc_ids, pa.int64()), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()),
+            "decoded_sha256": pa.array(decoded_sha, pa.string()), "n_decoded": pa.array(n_decoded, pa.int64()),
         })
 
     return encode_documents(
