@@ -4,8 +4,10 @@ Every 50-byte string holds 33 grams of 18 bytes; the least gram hash is the stri
 bucket, wherever it stands.  A cell is a run of neighbouring strings of one bucket.
 
 1. Equal texts become one (of the smallest doc_id); the other copies go whole.
-2. Initial q-gram buckets: of each text the buckets only, packed and dealt by bucket;
-   buckets of a single document drop out.
+2. Initial q-gram buckets, refined at once by the gram bucket 16 bytes to the right or
+   to the left: of a string's 32 bytes beside the gram, 16 stand on one side.  Only
+   these 34-byte buckets are packed and dealt; those of one document drop out.  A key
+   that several documents of a batch have is known there and sent once.
 3. Refinement: the remaining cells are grouped by content.  A cell that also stands
    in a smaller document is settled at once, with all its strings; so is a bucket that
    has one cell content only, which covers the inside of copied passages.
@@ -41,14 +43,15 @@ from hourcast.llm.common import materialise, mix64, shared_path, table
 
 LENGTH = 50
 GRAM = 18
+SIDE = 16
 GRAMS = LENGTH - GRAM + 1
 #: Offsets whose grams cover a string.
-POINTERS = (0, 16, 32)
+POINTERS = (0, SIDE, 2 * SIDE)
 SEGMENT = 1 << 20
 PACK_BYTES = 16 << 20
 BUCKET_BYTES = 32 << 20
-#: A gram bucket is about every 17th byte, packed to about 8 bytes.
-PACKED_SHARE = 0.5
+#: Two keys of about 8 bytes for a cell of about 17 strings.
+PACKED_SHARE = 1.0
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -86,13 +89,15 @@ def segments(texts: list[bytes]) -> Iterator[tuple[bytes, list[tuple[int, int, i
 
 
 def cells(texts: list[bytes], content: bool = False) -> Iterator[tuple[np.ndarray, ...]]:
-    """Per buffer: text, first and last string (places in the text) and bucket of each
-    cell, and with ``content`` a hash of the cell's bytes."""
+    """Per buffer, of each cell: text, first and last string (places in the text) and
+    bucket, then the 34-byte buckets to the right and left as pairs (cell, key), and
+    with ``content`` a hash of the cell's bytes."""
     for buffer, parts in segments(texts):
         h = gram_hashes(buffer)
         m = least_of(h)
         part = np.array(parts)
-        place = np.repeat(part[:, 2], part[:, 3]) + np.arange(part[:, 3].sum()) - np.repeat(np.cumsum(part[:, 3]) - part[:, 3], part[:, 3])
+        index = np.arange(part[:, 3].sum())
+        place = index + np.repeat(part[:, 2] - np.cumsum(part[:, 3]) + part[:, 3], part[:, 3])
         new = np.ones(len(place), bool)
         new[1:] = (m[place[1:]] != m[place[:-1]]) | (place[1:] != place[:-1] + 1)
         first = np.flatnonzero(new)
@@ -100,7 +105,21 @@ def cells(texts: list[bytes], content: bool = False) -> Iterator[tuple[np.ndarra
         own = np.repeat(np.arange(len(part)), part[:, 3])[first]
         shift = part[own, 1] - part[own, 2]
         lo, hi = place[first], place[last]
-        out = (part[own, 0], lo + shift, hi + shift, m[lo])
+        same = h[lo[:, None] + np.arange(GRAMS)] == m[lo][:, None]
+        at = lo + same.argmax(1)
+        cell, gram = np.arange(len(lo)), at
+        # where the least gram stands more than once in a cell, all its places count
+        again = np.flatnonzero((same.sum(1) > 1) | (hi > at))
+        if len(again):
+            more = [lo[i] + np.flatnonzero(h[lo[i]:hi[i] + GRAMS] == m[lo[i]]) for i in again]
+            cell = np.concatenate([cell, np.repeat(again, [len(x) for x in more])])
+            gram = np.concatenate([gram, *more])
+        right, left = gram + SIDE <= hi[cell] + GRAMS - 1, gram - SIDE >= lo[cell]
+        keyed = np.concatenate([cell[right], cell[left]])
+        g = np.concatenate([gram[right], gram[left] - SIDE])
+        side = np.repeat(np.array([1, 2], np.uint64), [right.sum(), left.sum()])
+        keys = mix64(mix64(h[g] * _ODD + side) + h[g + SIDE])
+        out = (part[own, 0], lo + shift, hi + shift, m[lo], keyed, keys)
         if content:
             powers = np.full(len(h) + 1, _ODD)
             powers[0] = 1
@@ -114,31 +133,38 @@ def cells(texts: list[bytes], content: bool = False) -> Iterator[tuple[np.ndarra
         yield out
 
 
-def short_key(bucket: np.ndarray) -> np.ndarray:
-    return mix64(bucket ^ _ODD)
-
-
 def packed_buckets(texts: DataFrame, groups: int) -> DataFrame:
-    """``(r, keys, ids, counts)``: a batch's distinct (bucket, document) pairs of remainder r, by document."""
+    """``(r, keys, ids, counts)``: a batch's distinct (key, document) pairs of remainder r,
+    by document.  Pairs of keys that several documents of the batch have go in a group
+    of their own, r < 0, that needs no look at others; one pair of each is sent too."""
+
+    def rows(r: np.ndarray, key: np.ndarray, ids: np.ndarray) -> list[tuple]:
+        order = np.lexsort((ids, r))
+        r, key, ids = r[order], key[order], ids[order]
+        out = []
+        for part in np.split(np.arange(len(r)), np.flatnonzero(np.diff(r)) + 1) if len(r) else []:
+            at, counts = np.unique(ids[part], return_counts=True)
+            out.append((int(r[part[0]]), key[part].astype("<u4").tobytes(), at.astype("<i8").tobytes(), counts.astype("<u4").tobytes()))
+        return out
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            found = [(own, short_key(key)) for own, _, _, key in cells(batch.column(1).to_pylist())]
+            found = [(own[keyed], keys) for own, _, _, _, keyed, keys in cells(batch.column(1).to_pylist())]
             if not found:
                 continue
-            own, key = (np.concatenate(x) for x in zip(*found, strict=True))
-            r, key = (key % np.uint64(groups)).astype(np.int64), (key >> np.uint64(32)).astype(np.int64)
-            pairs = np.unique(np.stack([r << 32 | key, own], 1), axis=0)
-            both, own = pairs[:, 0], pairs[:, 1]
-            order = np.lexsort((own, both >> 32))
-            own, both = own[order], both[order]
-            rows = []
-            for part in np.split(np.arange(len(both)), np.flatnonzero(np.diff(both >> 32)) + 1):
-                at, counts = np.unique(own[part], return_counts=True)
-                rows.append((int(both[part[0]] >> 32), (both[part] & 0xFFFFFFFF).astype("<u4").tobytes(), ids[at].astype("<i8").tobytes(), counts.astype("<u4").tobytes()))
-            r, *blobs = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), *(pa.array(b, pa.binary()) for b in blobs)], ["r", "keys", "ids", "counts"])
+            own, keys = (np.concatenate(x) for x in zip(*found, strict=True))
+            own = ids[own]
+            order = np.lexsort((own, keys))
+            own, keys = own[order], keys[order]
+            new = np.append(True, (keys[1:] != keys[:-1]) | (own[1:] != own[:-1]))
+            own, keys = own[new], keys[new]
+            first = np.append(True, keys[1:] != keys[:-1])
+            many = np.repeat(np.add.reduceat(np.ones(len(keys), int), np.flatnonzero(first)) > 1, np.diff(np.append(np.flatnonzero(first), len(keys))))
+            r, key = (keys % np.uint64(groups)).astype(np.int64), keys >> np.uint64(32)
+            known = np.full(int(many.sum()), -1 - random.getrandbits(60))
+            r_, *blobs = zip(*(rows(r[first], key[first], own[first]) + rows(known, key[many], own[many])), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(r_, pa.int64()), *(pa.array(b, pa.binary()) for b in blobs)], ["r", "keys", "ids", "counts"])
 
     return texts.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
         pack, "r long, keys binary, ids binary, counts binary"
@@ -151,12 +177,13 @@ def shared_buckets(packed: DataFrame) -> DataFrame:
     def find(rows: pa.Table) -> pa.Table:
         keys, ids, counts = (np.frombuffer(b"".join(rows.column(c).to_pylist()), t) for c, t in (("keys", "<u4"), ("ids", "<i8"), ("counts", "<u4")))
         ids = np.repeat(ids, counts)
-        order = np.argsort(keys, kind="stable")
-        keys, ids = keys[order], ids[order]
-        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        many = np.minimum.reduceat(ids, starts) != np.maximum.reduceat(ids, starts)
-        keep = np.repeat(many, np.diff(np.append(starts, len(keys))))
-        keys, ids = keys[keep], ids[keep]
+        if rows.column("r")[0].as_py() >= 0:
+            order = np.argsort(keys, kind="stable")
+            keys, ids = keys[order], ids[order]
+            starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            many = np.minimum.reduceat(ids, starts) != np.maximum.reduceat(ids, starts)
+            keep = np.repeat(many, np.diff(np.append(starts, len(keys))))
+            keys, ids = keys[keep], ids[keep]
         order = np.argsort(ids, kind="stable")
         keys, ids = keys[order], ids[order]
         starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, int)
@@ -175,8 +202,9 @@ def candidate_cells(texts: DataFrame, shared: DataFrame) -> DataFrame:
         for batch in batches:
             for i, t, keys in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 keys = np.frombuffer(b"".join(keys), "<u4")
-                for _, lo, hi, bucket, cell in cells([t], content=True):
-                    ok = np.isin((short_key(bucket) >> np.uint64(32)).astype("<u4"), keys)
+                for _, lo, hi, bucket, keyed, key, cell in cells([t], content=True):
+                    ok = np.zeros(len(lo), bool)
+                    ok[keyed[np.isin((key >> np.uint64(32)).astype("<u4"), keys)]] = True
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(bucket[ok].view(np.int64)), pa.array(cell[ok].view(np.int64)), pa.array(np.full(ok.sum(), i, np.int64)),
                          pa.array(lo[ok].astype(np.int32)), pa.array(hi[ok].astype(np.int32))],
@@ -193,19 +221,29 @@ def pointer_strings(texts: DataFrame, ranges: DataFrame) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, t, ranges in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                for r in ranges:
-                    for at in range(r["lo"], r["hi"] + 1, SEGMENT):
-                        n = min(r["hi"] + 1 - at, SEGMENT)
-                        h = gram_hashes(t[at:at + n + LENGTH - 1])
-                        p = np.zeros(n, np.uint64)
-                        for o in POINTERS:
-                            p = mix64(p * _ODD + h[o:o + n])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(least_of(h).view(np.int64)), pa.array(p.view(np.int64)), pa.array(np.full(n, i, np.int64)),
-                             pa.array(np.arange(at, at + n, dtype=np.int32))],
-                            ["bucket", "pointers", "doc_id", "place"],
-                        )
+            ids, texts_ = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            lists = batch.column(2)
+            flat, offsets = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            los, his = flat.field("lo").to_numpy(), flat.field("hi").to_numpy()
+            for buffer, parts in segments(texts_):
+                h = gram_hashes(buffer)
+                wanted = np.zeros(len(buffer) + 1, np.int32)
+                for i, at, start, n in parts:
+                    lo, hi = los[offsets[i]:offsets[i + 1]] - at, his[offsets[i]:offsets[i + 1]] - at
+                    ok = (hi >= 0) & (lo < n)
+                    np.add.at(wanted, start + np.maximum(lo[ok], 0), 1)
+                    np.add.at(wanted, start + np.minimum(hi[ok], n - 1) + 1, -1)
+                place = np.flatnonzero(np.cumsum(wanted) > 0)
+                p = np.zeros(len(place), np.uint64)
+                for o in POINTERS:
+                    p = mix64(p * _ODD + h[place + o])
+                part = np.array(parts)
+                own = np.searchsorted(part[:, 2], place, "right") - 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(least_of(h)[place].view(np.int64)), pa.array(p.view(np.int64)), pa.array(ids[part[own, 0]]),
+                     pa.array((place - part[own, 2] + part[own, 1]).astype(np.int32))],
+                    ["bucket", "pointers", "doc_id", "place"],
+                )
 
     return texts.join(ranges, "doc_id").select("doc_id", F.col("text").cast("binary").alias("text"), "ranges").mapInArrow(
         emit, "bucket long, pointers long, doc_id long, place int"
