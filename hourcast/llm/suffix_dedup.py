@@ -18,9 +18,8 @@ bucket, wherever it stands.  A cell is a run of neighbouring strings of one buck
 5. The settled ranges of each text are cut out.
 
 A bucket's identifier is the gram's 64-bit hash, so pointers to later offsets need no
-global ranks; strings are told apart by 128 bits (bucket and pointers).  Rows that
-many documents share are reduced before each shuffle or joined by sort-merge joins
-over written tables, which AQE can split.
+global ranks; cells are told apart by 128 bits, single strings by 64 bits of their
+pointers.  Keys that many documents share are answered within a batch where possible.
 
 Defined cases: null text is the empty text; texts under 50 bytes lose nothing; rows
 of null doc_id lose nothing and are no source; rows that repeat id and text fare
@@ -36,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourcast.llm.common import materialise, mix64, shared_path, table
@@ -217,7 +216,8 @@ def candidate_cells(texts: DataFrame, shared: DataFrame) -> DataFrame:
 
 
 def pointer_strings(texts: DataFrame, ranges: DataFrame) -> DataFrame:
-    """``(bucket, pointers, doc_id, place)`` of each string in ``ranges(doc_id, ranges)``."""
+    """``(pointers, doc_id, place, known)`` of each string in ``ranges(doc_id, ranges)``;
+    known: a smaller document of the same megabyte has it."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,14 +239,19 @@ def pointer_strings(texts: DataFrame, ranges: DataFrame) -> DataFrame:
                     p = mix64(p * _ODD + h[place + o])
                 part = np.array(parts)
                 own = np.searchsorted(part[:, 2], place, "right") - 1
+                place, own = place - part[own, 2] + part[own, 1], ids[part[own, 0]]
+                order = np.lexsort((own, p))
+                p, own, place = p[order], own[order], place[order]
+                starts = np.flatnonzero(np.append(True, p[1:] != p[:-1])) if len(p) else np.zeros(0, int)
+                known = own > np.repeat(own[starts], np.diff(np.append(starts, len(p))))
+                # rows that are known to go need no company: any other key will do
+                p[known] = mix64(p[known] + place[known].astype(np.uint64) + own[known].astype(np.uint64) * _ODD)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(least_of(h)[place].view(np.int64)), pa.array(p.view(np.int64)), pa.array(ids[part[own, 0]]),
-                     pa.array((place - part[own, 2] + part[own, 1]).astype(np.int32))],
-                    ["bucket", "pointers", "doc_id", "place"],
+                    [pa.array(p.view(np.int64)), pa.array(own), pa.array(place.astype(np.int32)), pa.array(known)], ["pointers", "doc_id", "place", "known"]
                 )
 
     return texts.join(ranges, "doc_id").select("doc_id", F.col("text").cast("binary").alias("text"), "ranges").mapInArrow(
-        emit, "bucket long, pointers long, doc_id long, place int"
+        emit, "pointers long, doc_id long, place int, known boolean"
     )
 
 
@@ -282,28 +287,19 @@ def repeated_ranges(texts: DataFrame, size: int) -> DataFrame:
     """``(doc_id, ranges)``: the strings of each text that a smaller document has, as ranges of their starts."""
     groups = max(1, -(-int(size * PACKED_SHARE) // PACK_BYTES))
     shared = materialise(shared_buckets(packed_buckets(texts, groups)), "shared-buckets")
-    found = materialise(candidate_cells(texts, shared), "cells")
-    first = materialise(found.groupBy("bucket", "cell").agg(F.min("doc_id").alias("least")), "first-cells")
-    several = materialise(first.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "several")
-    classes = materialise(
-        first.join(several.withColumn("open", F.lit(True)), "bucket", "left").select("bucket", "cell", "least", "open"),
-        "classes",
-    )
-    marked = materialise(
-        found.join(classes, ["bucket", "cell"]).select("doc_id", "lo", "hi", (F.col("doc_id") > F.col("least")).alias("settled"), "open")
-        .where("settled or open"),
-        "marked-cells",
+    # one shuffle by bucket serves both: is a content in a smaller document, has the bucket several
+    bucket = Window.partitionBy("bucket")
+    found = (
+        candidate_cells(texts, shared).withColumn("open", F.min("cell").over(bucket) < F.max("cell").over(bucket))
+        .withColumn("settled", F.col("doc_id") > F.min("doc_id").over(Window.partitionBy("bucket", "cell")))
     )
+    marked = materialise(found.where("settled or open").select("doc_id", "lo", "hi", "settled"), "marked-cells")
     settled = marked.where("settled").select("doc_id", "lo", "hi")
     open_cells = marked.where("not settled").groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    strings = materialise(pointer_strings(texts, open_cells), "strings")
-    known = materialise(
-        strings.groupBy("bucket", "pointers").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-        .where("least < most").select("bucket", "pointers", "least"),
-        "known-strings",
-    )
-    refined = strings.join(known, ["bucket", "pointers"]).where("doc_id > least").select(
-        "doc_id", F.col("place").alias("lo"), F.col("place").alias("hi")
+    least = F.min("doc_id").over(Window.partitionBy("pointers"))
+    refined = (
+        pointer_strings(texts, open_cells).withColumn("least", least).where("known or doc_id > least")
+        .select("doc_id", F.col("place").alias("lo"), F.col("place").alias("hi"))
     )
     return settled.union(refined).groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
 
