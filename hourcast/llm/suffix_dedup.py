@@ -295,7 +295,10 @@ def repeated_ranges(texts: DataFrame, size: int) -> DataFrame:
     )
     marked = materialise(found.where("settled or open").select("doc_id", "lo", "hi", "settled"), "marked-cells")
     settled = marked.where("settled").select("doc_id", "lo", "hi")
-    open_cells = marked.where("not settled").groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+    # written first: a grouped table's partitioning would make the join move the bucketed texts
+    open_cells = materialise(
+        marked.where("not settled").groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")), "open-cells"
+    )
     least = F.min("doc_id").over(Window.partitionBy("pointers"))
     refined = (
         pointer_strings(texts, open_cells).withColumn("least", least).where("known or doc_id > least")
