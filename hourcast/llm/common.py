@@ -78,7 +78,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 def mix64(h: np.ndarray) -> np.ndarray:
     """A fixed 64-bit finaliser: spreads every input bit over the output."""
     h = h ^ (h >> np.uint64(31))
-    h = h * np.uint64(0x9FB21C651E98DF25)
-    h = h ^ (h >> np.uint64(28))
-    h = h * np.uint64(0xD6E8FEB86659FD93)
-    return h ^ (h >> np.uint64(32))
+    h *= np.uint64(0x9FB21C651E98DF25)
+    h ^= h >> np.uint64(28)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    return h

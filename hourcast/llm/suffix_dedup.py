@@ -46,7 +46,7 @@ SIDE = 16
 GRAMS = LENGTH - GRAM + 1
 #: Offsets whose grams cover a string.
 POINTERS = (0, SIDE, 2 * SIDE)
-SEGMENT = 1 << 20
+SEGMENT = 1 << 17
 PACK_BYTES = 16 << 20
 BUCKET_BYTES = 32 << 20
 #: Two keys of about 8 bytes for a cell of about 17 strings.
@@ -59,7 +59,11 @@ def gram_hashes(buffer: bytes) -> np.ndarray:
     n = len(buffer) - GRAM + 1
     a, b = (np.ndarray(n, "<u8", buffer, at, (1,)) for at in (0, 8))
     c = np.ndarray(n, "<u2", buffer, 16, (1,))
-    return mix64(mix64(a * np.uint64(0xC2B2AE3D27D4EB4F) + c) + b * np.uint64(0x165667B19E3779F9))
+    h = a * np.uint64(0xC2B2AE3D27D4EB4F)
+    h ^= h >> np.uint64(32)
+    h += b * np.uint64(0x165667B19E3779F9)
+    h += c * _ODD
+    return mix64(h)
 
 
 def least_of(h: np.ndarray) -> np.ndarray:
@@ -71,7 +75,7 @@ def least_of(h: np.ndarray) -> np.ndarray:
 
 
 def segments(texts: list[bytes]) -> Iterator[tuple[bytes, list[tuple[int, int, int, int]]]]:
-    """Buffers of about a megabyte with their parts ``(text, place in the text, place in
+    """Buffers of about 128 KB (their arrays stay in cache) with their parts ``(text, place in the text, place in
     the buffer, strings)``; longer texts are cut, overlapping by 49 bytes."""
     buffer, parts, size = [], [], 0
     for i, t in enumerate(texts):
@@ -108,7 +112,7 @@ def cells(texts: list[bytes], content: bool = False) -> Iterator[tuple[np.ndarra
         at = lo + same.argmax(1)
         cell, gram = np.arange(len(lo)), at
         # where the least gram stands more than once in a cell, all its places count
-        again = np.flatnonzero((same.sum(1) > 1) | (hi > at))
+        again = np.flatnonzero((lo + GRAMS - 1 - same[:, ::-1].argmax(1) > at) | (hi > at))
         if len(again):
             more = [lo[i] + np.flatnonzero(h[lo[i]:hi[i] + GRAMS] == m[lo[i]]) for i in again]
             cell = np.concatenate([cell, np.repeat(again, [len(x) for x in more])])
@@ -183,15 +187,9 @@ def shared_buckets(packed: DataFrame) -> DataFrame:
             many = np.minimum.reduceat(ids, starts) != np.maximum.reduceat(ids, starts)
             keep = np.repeat(many, np.diff(np.append(starts, len(keys))))
             keys, ids = keys[keep], ids[keep]
-        order = np.argsort(ids, kind="stable")
-        keys, ids = keys[order], ids[order]
-        starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if len(ids) else np.zeros(0, int)
-        return pa.table({
-            "doc_id": pa.array(ids[starts], pa.int64()),
-            "keys": pa.array([k.tobytes() for k in np.split(keys, starts[1:])] if len(ids) else [], pa.binary()),
-        })
+        return pa.table({"doc_id": pa.array(ids, pa.int64()), "key": pa.array(keys.view(np.int32))})
 
-    return packed.groupBy("r").applyInArrow(find, "doc_id long, keys binary").groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
+    return packed.groupBy("r").applyInArrow(find, "doc_id long, key int").groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
 
 
 def candidate_cells(texts: DataFrame, shared: DataFrame) -> DataFrame:
@@ -199,8 +197,8 @@ def candidate_cells(texts: DataFrame, shared: DataFrame) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, t, keys in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                keys = np.frombuffer(b"".join(keys), "<u4")
+            for i, t, keys in zip(*(batch.column(k) for k in range(3)), strict=True):
+                i, t, keys = i.as_py(), t.as_py(), keys.values.to_numpy().view(np.uint32)
                 for _, lo, hi, bucket, keyed, key, cell in cells([t], content=True):
                     ok = np.zeros(len(lo), bool)
                     ok[keyed[np.isin((key >> np.uint64(32)).astype("<u4"), keys)]] = True
@@ -217,7 +215,7 @@ def candidate_cells(texts: DataFrame, shared: DataFrame) -> DataFrame:
 
 def pointer_strings(texts: DataFrame, ranges: DataFrame) -> DataFrame:
     """``(pointers, doc_id, place, known)`` of each string in ``ranges(doc_id, ranges)``;
-    known: a smaller document of the same megabyte has it."""
+    known: a smaller document of the same buffer has it."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
