@@ -103,8 +103,9 @@ class RankTable:
         if max(ranks.values()) >= 1 << 16 or any(bytes([i]) not in ranks for i in range(256)):
             raise ValueError("a byte-level vocabulary of at most 65536 entries is needed")
         pairs = mergeable_pairs(ranks)
-        self.slots = 1 << max(8, (2 * len(pairs)).bit_length())
-        self.groups = self.slots // 4
+        # as small as it may be: the literal is also part of the plan's text
+        self.slots = 1 << max(8, (5 * len(pairs) // 4).bit_length())
+        self.groups = self.slots // 2
         m = _MULTIPLIERS
         by: dict[int, list[tuple[int, int]]] = {}
         for a, b in pairs:
@@ -137,7 +138,7 @@ class RankTable:
 
     def fold(self, word: Column) -> Column:
         """``array<int>`` of ids of a binary ``word``."""
-        none = F.array().cast("array<int>")
+        no_pair = F.array().cast("array<struct<a: int, b: int>>")
         chars = F.decode(word, "ISO-8859-1")  # one character for each byte
         ids = F.transform(F.split(chars, ""), lambda c: F.get(self.bytes, F.ascii(c)))
 
@@ -150,12 +151,13 @@ class RankTable:
             ids, ranks = state["ids"], state["ranks"]
 
             def merged(low: Column, at: Column) -> Column:
-                left = F.when(at > 1, F.array(self.rank(F.get(ids, at - 2), low))).otherwise(none)
-                right = F.when(at + 1 < F.size(ids), self.rank(low, F.get(ids, at + 1))).otherwise(F.lit(NONE))
+                left = F.when(at > 1, F.array(F.struct(F.get(ids, at - 2).alias("a"), low.alias("b")))).otherwise(no_pair)
+                right = F.array(F.struct(low.alias("a"), F.get(ids, at + 1).alias("b")))
+                beside = F.transform(F.concat(left, right), lambda p: F.when(p["b"].isNull(), F.lit(NONE)).otherwise(self.rank(p["a"], p["b"])))
                 rest = lambda x: F.slice(x, at + 2, F.size(ids))
                 return F.struct(
                     F.concat(F.slice(ids, F.lit(1), at - 1), F.array(low), rest(ids)).alias("ids"),
-                    F.concat(F.slice(ranks, F.lit(1), F.greatest(at - 2, F.lit(0))), left, F.array(right), rest(ranks)).alias("ranks"),
+                    F.concat(F.slice(ranks, F.lit(1), F.greatest(at - 2, F.lit(0))), beside, rest(ranks)).alias("ranks"),
                 )
 
             return bind(F.array_min(ranks), lambda low: F.when(low == NONE, state).otherwise(
