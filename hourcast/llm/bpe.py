@@ -37,7 +37,7 @@ from hourcast.llm.common import shared_path, table
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LONG_WORD = 200
 #: Bytes of text of a chunk, and chunks of which one group of a word's places may hold the numbers.
-CHUNK_BYTES = 40 << 20
+CHUNK_BYTES = 56 << 20
 PLACES = 1024
 NONE = 2**31 - 1
 _MULTIPLIERS = (7919, 613, 31, 1009)
