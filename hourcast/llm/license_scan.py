@@ -153,7 +153,7 @@ def base_places(words: list[bytes]) -> list[tuple[int, str]]:
             at = words.index(seq[0], at + 1)
             if words[at:at + len(seq)] == seq:
                 found.append((at, label))
-    return found
+    return sorted(found)
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
