@@ -48,12 +48,17 @@ def mean(a: Column) -> Column:
 
 
 def std(a: Column, ddof: int = 1) -> Column:
-    """Two-pass standard deviation over non-NULL elements."""
-    nn = nonnull(a)
-    n = F.size(nn)
-    m = _sum(nn) / n
-    ss = F.aggregate(nn, F.lit(0.0), lambda acc, x: acc + (x - m) * (x - m))
-    return F.when(n > ddof, F.sqrt(ss / (n - F.lit(ddof))))
+    """Standard deviation over non-NULL elements, in one pass (running mean and squares)."""
+
+    def add(s: Column, x: Column) -> Column:
+        n, d = s["n"] + 1, x - s["mean"]
+        mean = s["mean"] + d / n
+        return F.when(x.isNull(), s).otherwise(
+            F.struct(n.alias("n"), mean.alias("mean"), (s["m2"] + d * (x - mean)).alias("m2"))
+        )
+
+    zero = F.struct(F.lit(0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    return F.aggregate(a, zero, add, lambda s: F.when(s["n"] > ddof, F.sqrt(s["m2"] / (s["n"] - F.lit(ddof)))))
 
 
 def amin(a: Column) -> Column:

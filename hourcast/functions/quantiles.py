@@ -1,16 +1,15 @@
-"""Exact linear-interpolation quantiles with bounded memory.
+"""Exact linear-interpolation quantiles without large buffers.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, which does not survive a group holding a third of 100 TB.
-Here an exact quantile takes two passes:
+Here an exact quantile takes three aggregations:
 
-1. ``percentile_approx`` (a mergeable sketch, partial aggregation per task)
-   brackets the wanted rank: its rank error is at most ``n / accuracy``, so a
-   value range ``[lo, hi]`` around ranks ``q*n -/+ 4n/accuracy`` must contain
-   the two order statistics linear interpolation needs.
-2. One grouped aggregation counts the values below ``lo`` and collects only the
-   values inside ``[lo, hi]`` (about ``8n/accuracy`` of them), sorted; the
-   exact order statistics are read from that short list.
+1. ``percentile_approx`` (a mergeable sketch) brackets the wanted rank.
+2. The bracket is widened by the nearest value on each side.
+3. Values inside the bracket are counted per distinct value (partial aggregation
+   collapses ties) and below it in total; cumulative counts over the distinct
+   values give the order statistics.  Nothing is collected into a list: a column
+   that is mostly one value has one row in its bracket.
 
 A bracket that misses the rank (which the sketch guarantee rules out) raises
 instead of returning a wrong value.  Result equals DuckDB ``quantile_cont`` and
@@ -21,81 +20,63 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 100_000
 
 
+#: Bracket tables of at most this many groups are collected and broadcast as local rows.
+SMALL_GROUPS = 1000
+
+
+def _small(table: DataFrame) -> DataFrame:
+    """``table`` as a broadcast local table where it is small, else as it is."""
+    rows = table.limit(SMALL_GROUPS + 1).collect()
+    return table if len(rows) > SMALL_GROUPS else F.broadcast(table.sparkSession.createDataFrame(rows, table.schema))
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
     probs: Sequence[float],
     by: Sequence[str] = (),
     accuracy: int = DEFAULT_ACCURACY,
-    small_groups: bool = False,
 ) -> DataFrame:
-    """Per group of ``by`` (or globally): columns ``n`` and ``q0, q1, ...``.
-
-    ``small_groups=True`` states that the number of groups has a known small
-    bound (for example one group per measure column), so the bracket table is
-    broadcast; otherwise the planner/AQE picks the join strategy.
-    """
-    by = list(by)
-    eps = 4.0 / accuracy
-    base = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    edges = []
-    for p in probs:
-        edges += [max(0.0, p - eps), min(1.0, p + eps)]
-    sketch = base.groupBy(*by).agg(
-        F.count("_v").alias("n"),
-        F.percentile_approx("_v", edges, accuracy).alias("_br"),
-    )
+    """Per group of ``by`` (or globally): columns ``n`` and ``q0, q1, ...``."""
+    keys = list(by) or ["_all"]
+    whole = df if by else df.withColumn("_all", F.lit(0))
+    base = whole.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    eps, k = 4.0 / accuracy, range(len(probs))
+    edges = [e for p in probs for e in (max(0.0, p - eps), min(1.0, p + eps))]
     v = F.col("_v")
+    sketch = _small(base.groupBy(*keys).agg(F.count("_v").alias("n"), F.percentile_approx("_v", edges, accuracy).alias("_br")))
+    lo, hi = (lambda j: F.col("_br")[2 * j]), (lambda j: F.col("_br")[2 * j + 1])
+    wide = base.join(sketch, keys).groupBy(*keys).agg(
+        F.first("n").alias("n"),
+        F.array(*[F.coalesce(F.max(F.when(v < lo(j), v)), F.first(lo(j))) for j in k]).alias("_lo"),
+        F.array(*[F.coalesce(F.min(F.when(v > hi(j), v)), F.first(hi(j))) for j in k]).alias("_hi"),
+    )
+    ranked = base.join(_small(wide), keys)
+    below = _small(ranked.groupBy(*keys).agg(F.first("n").alias("n"), F.array(*[F.count_if(v < F.col("_lo")[j]) for j in k]).alias("_below")))
+    inside = F.filter(F.array(*[F.lit(j) for j in k]), lambda j: (v >= F.get("_lo", j)) & (v <= F.get("_hi", j)))
+    counts = ranked.select(*keys, "_v", F.explode(inside).alias("_j")).groupBy(*keys, "_j", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    up = Window.partitionBy(*keys, "_j").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counts.withColumn("_to", F.sum("_c").over(up)).join(below, keys)
+    h = (F.col("n") - 1).cast("double") * F.get(F.array(*[F.lit(float(p)) for p in probs]), F.col("_j"))
+    first, past = F.get("_below", F.col("_j")) + F.col("_to") - F.col("_c"), F.get("_below", F.col("_j")) + F.col("_to")
+    at = lambda i: F.max(F.when((first <= i) & (i < past), v))
+    i = F.floor(h).cast("long")
+    picked = placed.groupBy(*keys, "_j", "n").agg(at(i).alias("_x1"), at(F.least(i + 1, F.col("n") - 1)).alias("_x2"), F.first(h - i).alias("_f"))
+    q = F.when(F.col("_x1").isNull() | F.col("_x2").isNull(), F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")).otherwise(
+        F.col("_x1") + F.col("_f") * (F.col("_x2") - F.col("_x1"))
+    )
+    out = picked.groupBy(*keys, "n").agg(*[F.max(F.when(F.col("_j") == j, q)).alias(f"q{j}") for j in k])
     if by:
-        joined = base.join(F.broadcast(sketch) if small_groups else sketch, by)
-        brackets = [(F.col("_br")[2 * j], F.col("_br")[2 * j + 1]) for j in range(len(probs))]
-    else:
-        row = sketch.first()
-        if row is None or row["n"] == 0:
-            return df.sparkSession.createDataFrame(
-                [(0, *[None] * len(probs))], ["n", *[f"q{j}" for j in range(len(probs))]]
-            ).select(F.col("n").cast("long"), *[F.col(f"q{j}").cast("double") for j in range(len(probs))])
-        joined = base.withColumn("n", F.lit(row["n"]).cast("long"))
-        brackets = [(F.lit(row["_br"][2 * j]), F.lit(row["_br"][2 * j + 1])) for j in range(len(probs))]
-    aggs = []
-    for j, (lo, hi) in enumerate(brackets):
-        aggs += [
-            F.count_if(v < lo).alias(f"_below{j}"),
-            F.sort_array(F.collect_list(F.when((v >= lo) & (v <= hi), v))).alias(f"_in{j}"),
-            # neighbours just outside the bracket cover an off-by-one sketch rank
-            F.max(F.when(v < lo, v)).alias(f"_prev{j}"),
-            F.min(F.when(v > hi, v)).alias(f"_next{j}"),
-        ]
-    picked = joined.groupBy(*by, "n").agg(*aggs)
-    empty = F.array().cast("array<double>")
-    outs = []
-    for j, p in enumerate(probs):
-        prev, nxt = F.col(f"_prev{j}"), F.col(f"_next{j}")
-        ext = F.concat(
-            F.when(prev.isNotNull(), F.array(prev)).otherwise(empty),
-            F.col(f"_in{j}"),
-            F.when(nxt.isNotNull(), F.array(nxt)).otherwise(empty),
-        )
-        start = F.col(f"_below{j}") - prev.isNotNull().cast("long")
-        h = (F.col("n") - 1).cast("double") * F.lit(float(p))
-        i = F.floor(h).cast("long")
-        i2 = F.least(i + 1, F.col("n") - 1)
-        loc, loc2 = i - start, i2 - start
-        size = F.size(ext)
-        ok = (loc >= 0) & (loc2 < size)
-        x1 = F.try_element_at(ext, (loc + 1).cast("int"))
-        x2 = F.try_element_at(ext, (loc2 + 1).cast("int"))
-        q = F.when(ok, x1 + (h - i) * (x2 - x1)).otherwise(
-            F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")
-        )
-        outs.append(q.alias(f"q{j}"))
-    return picked.select(*by, "n", *outs)
+        return out
+    # without a value there is still one row, of NULL quantiles
+    one = df.sparkSession.range(1).select(F.lit(0).alias("_all"))
+    return one.join(out, "_all", "left").select(F.coalesce("n", F.lit(0)).cast("long").alias("n"), *[f"q{j}" for j in k])
 
 
 def column_medians(df: DataFrame, cols: Sequence[str], accuracy: int = DEFAULT_ACCURACY) -> dict[str, float | None]:
@@ -109,7 +90,7 @@ def column_medians(df: DataFrame, cols: Sequence[str], accuracy: int = DEFAULT_A
     long = df.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("v")) for c in cols])).alias("_kv")
     ).select("_kv.col", "_kv.v")
-    res = {r["col"]: r["q0"] for r in exact_quantiles(long, "v", [0.5], by=["col"], accuracy=accuracy, small_groups=True).collect()}
+    res = {r["col"]: r["q0"] for r in exact_quantiles(long, "v", [0.5], by=["col"], accuracy=accuracy).collect()}
     return {c: res.get(c) for c in cols}
 
 

@@ -55,7 +55,9 @@ def finite_or_null(x) -> Column:
 
 
 def clip_nonneg(x) -> Column:
-    return F.greatest(_c(x), F.lit(0.0))
+    """max(x, 0); NULL stays NULL (``greatest`` would skip it and give 0)."""
+    x = _c(x)
+    return F.when(x < 0.0, F.lit(0.0)).otherwise(x)
 
 
 def band(y) -> Column:

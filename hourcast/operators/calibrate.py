@@ -16,6 +16,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hourcast.functions.scalar import clip_nonneg
+
 # The correction grid.
 THRESHOLDS = (60.0, 75.0, 90.0, 100.0, 115.0, 130.0, 150.0)
 OFFSETS = tuple(np.linspace(0.0, 28.0, 15).tolist())
@@ -29,7 +31,7 @@ def correction_moments(df: DataFrame, base: str = "prediction", y: str = "y_true
     (d = base - y, x = base - T) and SSE / error sum of clip(base) - y over base < T."""
     b, yy = F.col(base), F.col(y)
     d = b - yy
-    e0 = F.greatest(b, F.lit(0.0)) - yy
+    e0 = clip_nonneg(b) - yy
     sev = yy > SEVERE
     aggs = [F.count(F.lit(1)).alias("n"), F.count_if(sev).alias("n_sev")]
     for i, t in enumerate(thresholds):
@@ -82,16 +84,15 @@ def select_additive_correction(df: DataFrame, objective: str, base: str = "predi
 def apply_additive_correction(base, threshold: float, offset: float, slope: float):
     """K2: max(0, base + offset*[base >= T] + slope*max(base - T, 0))."""
     b = F.col(base) if isinstance(base, str) else base
-    return F.greatest(
-        b + F.lit(offset) * (b >= threshold).cast("double") + F.lit(slope) * F.greatest(b - threshold, F.lit(0.0)),
-        F.lit(0.0),
+    return clip_nonneg(
+        b + F.lit(offset) * (b >= threshold).cast("double") + F.lit(slope) * clip_nonneg(b - threshold)
     )
 
 
 def fixed_slope_calibration(p, slope: float = 0.025, threshold: float = 150.0):
-    """K3: p + slope * max(p - threshold, 0)."""
+    """K3: max(0, p + slope * max(p - threshold, 0))."""
     p = F.col(p) if isinstance(p, str) else p
-    return p + F.lit(slope) * F.greatest(p - threshold, F.lit(0.0))
+    return clip_nonneg(p + F.lit(slope) * clip_nonneg(p - threshold))
 
 
 def correction_features(base) -> list:
@@ -99,7 +100,7 @@ def correction_features(base) -> list:
     b = F.col(base) if isinstance(base, str) else base
     out = [b.alias("base_pred"), (b * b).alias("base_pred_sq")]
     out += [(b >= t).cast("double").alias(f"base_gt_{t}") for t in (75, 100, 125, 150)]
-    out += [F.greatest(b - t, F.lit(0.0)).alias(f"excess_{t}") for t in (75, 100, 125, 150)]
+    out += [clip_nonneg(b - t).alias(f"excess_{t}") for t in (75, 100, 125, 150)]
     return out
 
 
@@ -118,7 +119,8 @@ def boxcox_fit(df: DataFrame, col: str = "y_true", shift: float = 1.0, lo: float
     refined around the best point.  Then the mean / population std of the
     transformed values (for standardising)."""
     x = F.col(col) + F.lit(shift)
-    base = df.select(x.alias("_x")).where(F.col("_x") > 0)
+    x = F.when(x <= 0, F.raise_error(F.lit("Box-Cox needs values above zero after the shift")).cast("double")).otherwise(x)
+    base = df.select(x.alias("_x")).where(F.col("_x").isNotNull())
     best = None
     for _ in range(passes):
         grid = np.linspace(lo, hi, points).tolist()
@@ -150,5 +152,5 @@ def boxcox_inverse(z, fit: dict):
     z = F.col(z) if isinstance(z, str) else z
     b = z * F.lit(fit["std"]) + F.lit(fit["mean"])
     lam = fit["lambda"]
-    x = F.exp(b) if abs(lam) < 1e-12 else F.pow(F.greatest(b * lam + 1.0, F.lit(0.0)), F.lit(1.0 / lam))
+    x = F.exp(b) if abs(lam) < 1e-12 else F.pow(clip_nonneg(b * lam + 1.0), F.lit(1.0 / lam))
     return x - F.lit(fit["shift"])

@@ -181,11 +181,11 @@ def q_bfill(spark, sf_dir):
     return normalise(bfill_by_series(panel_of(spark, sf_dir)))
 
 
-_M3_SQL = (O.prelude() + ",\nff AS (" + _fill_sql("f").format(src="panel") + "),\nfb AS ("
+_M3_CTE = (O.prelude() + ",\nff AS (" + _fill_sql("f").format(src="panel") + "),\nfb AS ("
            + _fill_sql("b").format(src="ff") + "),\nm3 AS (SELECT "
            + ", ".join(f"quantile_cont({m}, 0.5) AS md_{m}" for m in MEASURES)
-           + ", (SELECT wd FROM fb WHERE wd IS NOT NULL GROUP BY wd ORDER BY count(*) DESC, wd LIMIT 1) AS md_wd FROM fb)\n"
-           + "SELECT station, datetime, "
+           + ", (SELECT wd FROM fb WHERE wd IS NOT NULL GROUP BY wd ORDER BY count(*) DESC, wd LIMIT 1) AS md_wd FROM fb)")
+_M3_SQL = (_M3_CTE + "\nSELECT station, datetime, "
            + ", ".join(f"round(coalesce({m}, (SELECT md_{m} FROM m3)), 6) AS {m}" for m in MEASURES)
            + ", coalesce(wd, (SELECT md_wd FROM m3), 'UNKNOWN') AS wd FROM fb")
 
@@ -316,10 +316,11 @@ def q_w7(spark, sf_dir):
                      .unionByName(va.agg(*agg).select(F.lit("valid").alias("split"), "*")))
 
 
-_W8_SQL = O.prelude() + """,
-nx AS (SELECT *, lead(pm25) OVER o AS target_next, lead(datetime) OVER o AS next_time FROM panel
+_W8_SQL = _M3_CTE + """,
+filled AS (SELECT station, datetime, coalesce(pm25, (SELECT md_pm25 FROM m3)) AS pm25 FROM fb),
+nx AS (SELECT *, lead(pm25) OVER o AS target_next, lead(datetime) OVER o AS next_time FROM filled
        WINDOW o AS (PARTITION BY station ORDER BY datetime)),
-al AS (SELECT * FROM nx WHERE next_time = datetime + INTERVAL 1 HOUR AND target_next IS NOT NULL AND pm25 IS NOT NULL),
+al AS (SELECT * FROM nx WHERE next_time = datetime + INTERVAL 1 HOUR),
 rk AS (SELECT *, row_number() OVER (ORDER BY datetime, station) - 1 AS r, count(*) OVER () AS n FROM al),
 hold AS (SELECT * FROM rk WHERE r >= CAST(floor(n * CAST(0.8 AS DOUBLE)) AS BIGINT))
 SELECT 'persistence_latest_pm25' AS model, count(*) AS validation_rows,
@@ -329,12 +330,13 @@ SELECT 'persistence_latest_pm25' AS model, count(*) AS validation_rows,
 
 @query("holdout_tail", _W8_SQL)
 def q_w8(spark, sf_dir):
-    """Persistence scored on the last 20 % of aligned rows in time order
-    (boundary hour found from per-hour counts; ties by station)."""
+    """Persistence scored on the last 20 % of aligned imputed (M3) rows in time
+    order (boundary hour found from per-hour counts; ties by station)."""
+    from hourcast.operators.impute import stationwise_time_impute
     from hourcast.operators.splits import holdout_tail
     from hourcast.operators.windows import one_hour_ahead
 
-    al = one_hour_ahead(panel_of(spark, sf_dir).select("station", "datetime", "pm25")).where(F.col("pm25").isNotNull())
+    al = one_hour_ahead(stationwise_time_impute(panel_of(spark, sf_dir).select("station", "datetime", "pm25")))
     hold = holdout_tail(al, "datetime", "station", 0.2)
     e = F.col("pm25") - F.col("target_next")
     return normalise(hold.agg(

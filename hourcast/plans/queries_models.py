@@ -15,7 +15,11 @@ from hourcast.operators.splits import expanding_folds, late_split_time, split_by
 from hourcast.operators.windows import sequence_tensor, standardise_target
 from hourcast.plans.pipeline import prepare
 from hourcast.plans.registry import normalise, query
-from hourcast.functions.scalar import severe_weights
+from hourcast.functions.scalar import clip_nonneg, severe_weights
+
+#: Sizes of the registered queries; the operators' defaults are larger.
+SMALL_FOREST = {"trees": 20, "depth": 6}
+SMALL_BOOST = {"iters": 10}
 
 KEYS = ["station", "window_end", "target_time", "y_true"]
 
@@ -46,8 +50,8 @@ def q_ml(spark, sf_dir):
     fitted on train windows, R11 batch-predicted (clipped) on validation, A1."""
     _, tr, va, num, cat = _frames(spark, sf_dir)
     preds = [_persistence(va)]
-    for name, est in (("ridge_alpha10", R.ridge(tr)), ("random_forest", R.random_forest()),
-                      ("gradient_boosting", R.gradient_boosting())):
+    for name, est in (("ridge_alpha10", R.ridge(tr)), ("random_forest", R.random_forest(**SMALL_FOREST)),
+                      ("gradient_boosting", R.gradient_boosting(**SMALL_BOOST))):
         pr, _, _ = R.fit_predict(est, tr, va, num, cat, name=name)
         preds.append(pr)
     return normalise(MT.rmse_mae(reduce(lambda a, b: a.unionByName(b), preds)))
@@ -57,7 +61,7 @@ def q_ml(spark, sf_dir):
 def q_importance(spark, sf_dir):
     """Boosted-tree importances summed back to source columns."""
     _, tr, va, num, cat = _frames(spark, sf_dir)
-    _, model, names = R.fit_predict(R.gradient_boosting(), tr, va, num, cat, name="gradient_boosting")
+    _, model, names = R.fit_predict(R.gradient_boosting(**SMALL_BOOST), tr, va, num, cat, name="gradient_boosting")
     return normalise(R.feature_importance(model, names, spark, "gradient_boosting"))
 
 
@@ -86,7 +90,7 @@ def q_stacks(spark, sf_dir):
     scored on the late half."""
     _, tr, va, num, cat = _frames(spark, sf_dir)
     base = [_persistence(va)]
-    for name, est in (("ridge_alpha10", R.ridge(tr)), ("gradient_boosting", R.gradient_boosting())):
+    for name, est in (("ridge_alpha10", R.ridge(tr)), ("gradient_boosting", R.gradient_boosting(**SMALL_BOOST))):
         base.append(R.fit_predict(est, tr, va, num, cat, name=name)[0])
     long = reduce(lambda a, b: a.unionByName(b), base)
     models = ["persistence", "ridge_alpha10", "gradient_boosting"]
@@ -184,7 +188,7 @@ def q_k7(spark, sf_dir):
     long = preds_of(spark, sf_dir)
     wide = E.wide(long, MODELS, KEYS)
     feats = wide.select(*KEYS, *K.correction_features("persistence"),
-                        *[F.col(m).alias(f"model_{m}") for m in MODELS if m != "persistence"])
+                        *[F.col(m).alias(f"model_{m}") for m in MODELS])
     split = late_split_time(feats, "target_time", 0.5)
     early = feats.where(F.col("target_time") <= ts_lit(split))
     late = feats.where(F.col("target_time") > ts_lit(split))
@@ -196,7 +200,7 @@ def q_k7(spark, sf_dir):
     pr_res, _, _ = R.fit_predict(res_est, e_res, late, num, [], name="residual_ridge", extra_train_cols=["_w"],
                                  clip=False)
     pr_res = pr_res.join(late.select(*KEYS, "base_pred"), KEYS).select(
-        *KEYS, "model", F.greatest(F.col("prediction") + F.col("base_pred"), F.lit(0.0)).alias("prediction"))
+        *KEYS, "model", clip_nonneg(F.col("prediction") + F.col("base_pred")).alias("prediction"))
     # (late rows keep their true y_true key; only the early training label was replaced)
     e_t = early.withColumn("_w", w)
     pr_t, _, _ = R.fit_predict(R.ridge(e_t, alpha=25.0, weight_col="_w"), e_t, late, num, [], name="target_ridge",

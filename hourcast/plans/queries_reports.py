@@ -330,7 +330,7 @@ def q_k1(spark, sf_dir):
 
 @query("correction_apply", P + """SELECT station, window_end, model,
   round(greatest(prediction + 0.0 * CAST(prediction >= 150 AS DOUBLE) + 0.025 * greatest(prediction - 150, 0.0), 0.0), 6) AS additive,
-  round(prediction + 0.025 * greatest(prediction - 150, 0.0), 6) AS fixed_slope,
+  round(greatest(prediction + 0.025 * greatest(prediction - 150, 0.0), 0.0), 6) AS fixed_slope,
   round(prediction, 6) AS base_pred, round(prediction * prediction, 6) AS base_pred_sq,
   """ + ", ".join(f"round(CAST(prediction >= {t} AS DOUBLE), 6) AS base_gt_{t}" for t in (75, 100, 125, 150)) + ", "
        + ", ".join(f"round(greatest(prediction - {t}, 0.0), 6) AS excess_{t}" for t in (75, 100, 125, 150)) + " FROM preds")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourcast.functions.scalar import make_hour_ts
+from hourcast.functions.scalar import clip_nonneg, make_hour_ts
 from hourcast.spec import MEASURES
 
 # Column names of the station CSV files and our snake-case names.
@@ -35,18 +35,25 @@ def station_csv_schema() -> T.StructType:
     return T.StructType(fields)
 
 
+def matches(spark: SparkSession, pattern: str) -> list:
+    """Paths that match ``pattern``, looked up in whatever file system it names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return list(fs.globStatus(path) or [])
+
+
 def read_station_files(spark: SparkSession, pattern: str, expected_files: int | None = 12) -> DataFrame:
     """Read per-station CSVs with an explicit schema ('NA' -> NULL),
     rename to snake case and derive the hourly timestamp.  The file count is
     checked from the listing (driver metadata only)."""
     if expected_files is not None:
-        files = spark.sparkContext.wholeTextFiles  # noqa: F841 (listing below avoids reading content)
-        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-        fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-        statuses = fs.globStatus(jvm_path) or []
-        if len(statuses) != expected_files:
-            raise ValueError(f"Expected {expected_files} station files, found {len(statuses)}")
-    df = spark.read.schema(station_csv_schema()).option("header", True).option("nullValue", "NA").csv(pattern)
+        found = len(matches(spark, pattern))
+        if found != expected_files:
+            raise ValueError(f"Expected {expected_files} station files, found {found}")
+    df = (
+        spark.read.schema(station_csv_schema()).option("header", True).option("enforceSchema", False)
+        .option("mode", "FAILFAST").option("nullValue", "NA").csv(pattern)
+    )
     df = df.select(*[F.col(f"`{s}`").alias(d) for s, d in CSV_COLUMNS.items()])
     return df.withColumn("datetime", make_hour_ts("year", "month", "day", "hour"))
 
@@ -65,7 +72,7 @@ def read_tables(spark: SparkSession, root: str, names: Sequence[str] = KNOWN_TAB
     for name in names:
         for ext, reader in (("parquet", spark.read.parquet), ("csv", lambda p: spark.read.option("header", True).option("nullValue", "NA").csv(p))):
             path = os.path.join(root, f"{name}.{ext}")
-            if os.path.exists(path):
+            if matches(spark, path):
                 out[name] = reader(path)
                 break
     return out
@@ -75,7 +82,7 @@ def read_prediction_table(spark: SparkSession, path: str, prefix: str,
                           keys: Sequence[str] = ("station", "window_end", "target_time", "y_true")) -> DataFrame | None:
     """Saved wide predictions; keys checked, model columns cast to double
     and prefixed.  None when the path does not exist."""
-    if not os.path.exists(path):
+    if not matches(spark, path):
         return None
     df = spark.read.parquet(path)
     missing = [k for k in keys if k not in df.columns]
@@ -102,7 +109,7 @@ def submission(sample: DataFrame, preds: DataFrame, id_col: str = "id", value: s
                expected_rows: int | None = None) -> DataFrame:
     """Sample ids left-joined to clipped predictions; the caller's order
     column (if any) is kept; missing predictions raise at execution."""
-    j = sample.join(preds.select(id_col, F.greatest(F.col(value), F.lit(0.0)).alias("PM2.5")), id_col, "left")
+    j = sample.join(preds.select(id_col, clip_nonneg(value).alias("PM2.5")), id_col, "left")
     p = F.col("`PM2.5`")
     checked = j.select(*[c for c in sample.columns], F.when(
         p.isNull(), F.raise_error(F.concat(F.lit("missing prediction for id "), F.col(id_col))).cast("double")
