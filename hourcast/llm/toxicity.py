@@ -79,7 +79,7 @@ def pick_words(rows: DataFrame, most: int = MOST_WORDS) -> list[bytes]:
         for batch in batches:
             for p, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = list(set(words_of(t)))
-                yield pa.RecordBatch.from_arrays([pa.array([p] * len(words)), pa.array(words, pa.binary())], ["positive", "word"])
+                yield pa.RecordBatch.from_arrays([pa.array([p] * len(words), pa.bool_()), pa.array(words, pa.binary())], ["positive", "word"])
 
     n = rows.groupBy("positive").count().collect()
     n_p, n_u = (float(next((r["count"] for r in n if r["positive"] is k), 0) or 1) for k in (True, False))
