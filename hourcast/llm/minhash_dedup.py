@@ -44,7 +44,7 @@ LEAST_SHARED = 21
 SHORT_LIST = 32
 #: Members of a block of a long list.
 BLOCK = 512
-PIVOTS = 3
+PIVOTS = 12
 
 
 def shingle_hashes(text: bytes | None, width: int = 2) -> np.ndarray:

@@ -47,6 +47,8 @@ class ToxicityModel:
     intercept: float = -np.inf
 
     def score(self, text: bytes | None) -> float:
+        if not self.weights:
+            return 0.0
         g = self.intercept + sum(self.weights[w] for w in self.weights.keys() & set(words_of(text)))
         return float(1 / (1 + np.exp(-np.clip(g, -500, 500))))
 
