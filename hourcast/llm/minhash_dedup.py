@@ -16,7 +16,9 @@ far fewer above; sets smaller than k are their own sketches, which is exact.
    of the links found settle most lists: all members in one component.
 4. What is left are pairs of *different* components in one list.  Short lists give
    them directly; long ones are dealt in blocks over (list, block, block) groups,
-   where sketches are compared in memory and only similar pairs come out.
+   where 16-bit prints of wider sketches (``WIDE`` values) are compared in memory and
+   only similar pairs come out.  Prints that clash only add to an overlap, so a set of
+   up to ``WIDE`` shingles is never ruled out wrongly, a larger one in 10^8 pairs once.
    They take the same estimate and exact check.
 
 Defined cases: null, empty and blank texts have empty sets, linked with nothing; one
@@ -27,6 +29,7 @@ that share a doc_id are separate texts; an empty table gives no rows; ties have
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,8 +45,10 @@ K = 48
 LEAST_SHARED = 21
 #: Lists up to this long give their open pairs directly.
 SHORT_LIST = 32
-#: Members of a block of a long list.
-BLOCK = 512
+#: Values of a wider sketch, kept as 16-bit prints; compared where a long list stays open.
+WIDE = 256
+#: Members of a block of a long list: two blocks of prints are 2 MB.
+BLOCK = 2048
 PIVOTS = 12
 
 
@@ -63,26 +68,40 @@ def shingle_hashes(text: bytes | None, width: int = 2) -> np.ndarray:
     return np.unique(out.view(np.int64))
 
 
+def least_shared(k: int, percent: int, missed: float = 1e-8) -> int:
+    """Fewest shared values of a union sketch of ``k`` that are less likely than ``missed``
+    to be undercut by sets of that similarity."""
+    p, below = percent / 100, 0.0
+    for n in range(k + 1):
+        below += math.comb(k, n) * p**n * (1 - p) ** (k - n)
+        if below > missed:
+            return n
+    return k
+
+
 def sketches(docs: DataFrame, width: int = 2, k: int = K) -> DataFrame:
-    """Per row: doc_id, n_shingles, set_key (16-byte digest of the set, null if empty), sketch."""
+    """Per row: doc_id, n_shingles, set_key (16-byte digest of the set, null if empty),
+    sketch, prints (low 16 bits of the ``WIDE`` smallest hashes)."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, keys, low = [], [], []
+            n, keys, low, prints = [], [], [], []
             for t in batch.column(1):
                 h = shingle_hashes(t.as_py(), width)
                 n.append(len(h))
                 keys.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None)
                 low.append(h[:k])
+                prints.append(h[:WIDE].astype("<u2").tobytes())
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in low])]).astype(np.int32)
             flat = np.concatenate(low) if low else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(flat))],
-                ["doc_id", "n_shingles", "set_key", "sketch"],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()),
+                 pa.ListArray.from_arrays(offsets, pa.array(flat)), pa.array(prints, pa.binary())],
+                ["doc_id", "n_shingles", "set_key", "sketch", "prints"],
             )
 
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
-        sketch, "doc_id long, n_shingles long, set_key binary, sketch array<long>"
+        sketch, "doc_id long, n_shingles long, set_key binary, sketch array<long>, prints binary"
     )
 
 
@@ -151,7 +170,7 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     return p.where(both * 100 >= union * percent).select("a", "b").distinct()
 
 
-def open_pairs(lists: DataFrame, stats: DataFrame, reps: DataFrame, comps: DataFrame, least: int, percent: int) -> DataFrame:
+def open_pairs(lists: DataFrame, stats: DataFrame, reps: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that meet in a list: of short lists directly,
     of long ones from blocks compared in memory."""
     labelled = materialise(
@@ -182,19 +201,24 @@ def open_pairs(lists: DataFrame, stats: DataFrame, reps: DataFrame, comps: DataF
     lefts = long.where(F.col("comp") != F.col("main.comp")).withColumn("side", F.lit(0)).withColumn(
         "i", block(F.col("l_blocks"))).withColumn("j", every("r_blocks")).select(*columns)
     rights = long.withColumn("side", F.lit(1)).withColumn("j", block(F.col("r_blocks"))).withColumn("i", every("l_blocks")).select(*columns)
-    dealt = lefts.union(rights).join(reps.select("id", "sketch"), "id")
+    dealt = lefts.union(rights).join(reps.select("id", "prints"), "id")
+    least = least_shared(WIDE, percent)
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         r = rows[rows["side"] == 1]
         ids, n, comp = (r[c].to_numpy() for c in ("id", "n", "comp"))
         out = [np.zeros((0, 2), np.int64)]
         if len(r):
-            lengths = np.array([len(s) for s in r["sketch"]])
-            flat, starts = np.concatenate(r["sketch"].to_numpy()), np.cumsum(lengths) - lengths
+            prints = [np.frombuffer(x, "<u2") for x in r["prints"]]
+            flat, starts = np.concatenate(prints), np.cumsum([0, *map(len, prints)])[:-1]
+            there = np.zeros(1 << 16, np.int32)
             for x in rows[rows["side"] == 0].itertuples():
-                shared = np.add.reduceat(np.isin(flat, x.sketch).astype(np.int32), starts)
-                small = np.minimum(lengths, len(x.sketch))
-                ok = (shared >= np.minimum((small * percent + 99) // 100, least)) & (comp != x.comp)
+                mine = np.frombuffer(x.prints, "<u2")
+                there[mine] = 1
+                shared = np.add.reduceat(there[flat], starts)
+                there[mine] = 0
+                whole = shared * 100 >= (n + x.n - shared) * percent  # exact but for clashes, if both prints are of whole sets
+                ok = np.where(np.maximum(n, x.n) <= WIDE, whole, shared >= least) & (comp != x.comp)
                 ok &= np.minimum(n, x.n) * 100 >= np.maximum(n, x.n) * percent
                 out.append(np.stack([np.minimum(ids[ok], x.id), np.maximum(ids[ok], x.id)], 1))
         pairs = np.concatenate(out)
@@ -209,7 +233,7 @@ def near_dups(docs: DataFrame, width: int = 2, percent: int = 80, k: int = K, le
     rows = materialise(sketches(docs, width, k), "sketches")
     known = rows.where("doc_id is not null and set_key is not null")
     reps = materialise(
-        known.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")),
+        known.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("prints").alias("prints")),
         "reps",
     )
     lists = materialise(listed(reps, k, least, percent), "lists")
@@ -226,7 +250,7 @@ def near_dups(docs: DataFrame, width: int = 2, percent: int = 80, k: int = K, le
     ).select(*ordered(F.col("id"), F.col("p.id"))).distinct()
     links = materialise(verified(estimated(star, reps, k, least, percent), docs, width, percent), "links")
     comps = materialise(components(links), "components")
-    rest = materialise(estimated(open_pairs(lists, stats, reps, comps, least, percent), reps, k, least, percent), "rest")
+    rest = materialise(estimated(open_pairs(lists, stats, reps, comps, percent), reps, k, least, percent), "rest")
     if not rest.isEmpty():
         links = links.union(materialise(verified(rest, docs, width, percent), "links"))
         # equal sets are one node already; rows that share a doc_id join their classes through it
