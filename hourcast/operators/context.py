@@ -8,7 +8,7 @@ is small and splits skewed hours otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourcast.operators.features import Win, drop_arrays, with_arrays
@@ -19,35 +19,50 @@ CONTEXT_SPECS = {
     "pm10": (1,), "no2": (1,), "co": (1,), "o3": (1,), "wspm": (1,), "temp": (1,), "pres": (1,),
 }
 
+#: Values are summed as decimals of this type.
+EXACT = "decimal(18,8)"
+
 
 def city_context(windows: DataFrame, time: str = "window_end", specs=CONTEXT_SPECS, size: int = 24) -> DataFrame:
     """Same-hour statistics across series (no target-hour values used).
 
     Adds ``city_station_count`` and, per (measure, lag): mean, max, sample std
     (single series -> 0), leave-one-out mean ((sum - x)/(n-1), n=1 -> mean),
-    deviations from both, plus 1 h deltas and the peak spread of PM2.5."""
+    deviations from both, plus 1 h deltas and the peak spread of PM2.5.
+
+    Values are taken to 8 decimals and summed exactly, so that results do not
+    depend on the order in which rows meet."""
     win = Win(size)
     vals = {f"{m}_lag_{k}": win.lag(m, k) for m, lags in specs.items() for k in lags}
-    base = drop_arrays(with_arrays(windows, list(specs)).select("*", *[c.alias(f"_cv_{n}") for n, c in vals.items()]))
+    base = drop_arrays(with_arrays(windows, list(specs)).select("*", *[c.cast(EXACT).alias(f"_cv_{n}") for n, c in vals.items()]))
     aggs = [F.count("_cv_pm25_lag_1").cast("double").alias("city_station_count")]
     for n in vals:
         v = F.col(f"_cv_{n}")
-        aggs += [F.count(v).alias(f"_n_{n}"), F.sum(v).alias(f"_s_{n}"), F.avg(v).alias(f"_m_{n}"),
-                 F.max(v).alias(f"_x_{n}"), F.stddev_samp(v).alias(f"_sd_{n}")]
+        aggs += [F.count(v).cast("decimal(9,0)").alias(f"_n_{n}"), F.sum(v).alias(f"_s_{n}"),
+                 F.max(v).alias(f"_x_{n}"), F.stddev_samp(v.cast("double")).alias(f"_sd_{n}")]
     per_hour = base.groupBy(time).agg(*aggs)
     j = base.join(per_hour, time)
+
+    def ratio(numerator: Column, count: Column) -> Column:
+        """Exact numerator over a count, divided once; NULL for a count of 0."""
+        return F.try_divide(numerator.cast("double"), count.cast("double"))
+
+    def parts(n: str) -> tuple[Column, Column, Column]:
+        return F.col(f"_cv_{n}"), F.col(f"_n_{n}"), F.col(f"_s_{n}")
+
     out = []
     for m, lags in specs.items():
         for k in lags:
             n = f"{m}_lag_{k}"
             p = f"city_{m}_lag{k}"
-            x, cnt, tot, mean = F.col(f"_cv_{n}"), F.col(f"_n_{n}"), F.col(f"_s_{n}"), F.col(f"_m_{n}")
-            other = F.coalesce(F.try_divide(tot - x, (cnt - 1).cast("double")), mean)
+            x, cnt, tot = parts(n)
+            mean, alone = ratio(tot, cnt), cnt == 1
             out += [
-                mean.alias(f"{p}_mean"), F.col(f"_x_{n}").alias(f"{p}_max"),
+                mean.alias(f"{p}_mean"), F.col(f"_x_{n}").cast("double").alias(f"{p}_max"),
                 F.coalesce(F.col(f"_sd_{n}"), F.lit(0.0)).alias(f"{p}_std"),
-                other.alias(f"{p}_other_mean"), (x - mean).alias(f"{p}_station_minus_city"),
-                (x - other).alias(f"{p}_station_minus_other"),
+                F.coalesce(ratio(tot - x, cnt - 1), mean).alias(f"{p}_other_mean"),
+                ratio(x * cnt - tot, cnt).alias(f"{p}_station_minus_city"),
+                F.when(alone, ratio(x - tot, cnt)).otherwise(F.coalesce(ratio(x * cnt - tot, cnt - 1), x.cast("double") - mean)).alias(f"{p}_station_minus_other"),
             ]
     res = j.select(*windows.columns, "city_station_count", *out)
     return res.select(

@@ -182,21 +182,29 @@ def q_j4(spark, sf_dir):
 
 # --------------------------------------------------------------------------- C1-C4
 
+def half_up(x: str) -> str:
+    """``x`` to 6 places, halves away from zero by its decimal digits, as Spark rounds doubles
+    (DuckDB's ``round`` decides after a binary multiplication)."""
+    return f"CAST(CAST(CAST({x} AS VARCHAR) AS DECIMAL(28,6)) AS DOUBLE)"
+
+
 def _city_sql() -> str:
     vals = {f"{m}_lag_{k}": L(m, k) for m, lags in CONTEXT_SPECS.items() for k in lags}
-    ex = O.windows({f"cv_{n}": e for n, e in vals.items()}, source="lg")
+    ex = O.windows({f"cv_{n}": f"CAST({e} AS DECIMAL(18,8))" for n, e in vals.items()}, source="lg")
     aggs = ["CAST(count(cv_pm25_lag_1) AS DOUBLE) AS city_station_count"]
     for n in vals:
-        aggs.append(f"count(cv_{n}) AS n_{n}, sum(cv_{n}) AS s_{n}, avg(cv_{n}) AS m_{n}, max(cv_{n}) AS x_{n}, "
-                    f"stddev_samp(cv_{n}) AS sd_{n}")
+        aggs.append(f"count(cv_{n}) AS n_{n}, sum(cv_{n}) AS s_{n}, max(cv_{n}) AS x_{n}, "
+                    f"stddev_samp(CAST(cv_{n} AS DOUBLE)) AS sd_{n}")
     cols = ["city_station_count"]
     for m, lags in CONTEXT_SPECS.items():
         for k in lags:
             n, p = f"{m}_lag_{k}", f"city_{m}_lag{k}"
-            other = f"coalesce((s_{n} - cv_{n}) / nullif(n_{n} - 1, 0), m_{n})"
-            cols += [f"m_{n} AS {p}_mean", f"x_{n} AS {p}_max", f"coalesce(sd_{n}, 0.0) AS {p}_std",
-                     f"{other} AS {p}_other_mean", f"cv_{n} - m_{n} AS {p}_station_minus_city",
-                     f"cv_{n} - {other} AS {p}_station_minus_other"]
+            mean = f"CAST(s_{n} AS DOUBLE) / nullif(n_{n}, 0)"
+            other = f"coalesce(CAST(s_{n} - cv_{n} AS DOUBLE) / nullif(n_{n} - 1, 0), {mean})"
+            from_sum = f"CAST(cv_{n} * CAST(n_{n} AS DECIMAL(9,0)) - s_{n} AS DOUBLE)"
+            cols += [f"{mean} AS {p}_mean", f"CAST(x_{n} AS DOUBLE) AS {p}_max", f"coalesce(sd_{n}, 0.0) AS {p}_std",
+                     f"{other} AS {p}_other_mean", f"{from_sum} / n_{n} AS {p}_station_minus_city",
+                     f"CASE WHEN n_{n} = 1 THEN CAST(cv_{n} - s_{n} AS DOUBLE) ELSE {from_sum} / nullif(n_{n} - 1, 0) END AS {p}_station_minus_other"]
     names = [c.split(" AS ")[-1] for c in cols]
     names += ["city_pm25_mean_delta_1h", "city_pm25_other_mean_delta_1h", "city_pm25_peak_spread_lag1"]
     return (O.prelude() + _lag_cte() + ex + f""",
@@ -205,7 +213,7 @@ cc AS (SELECT w.station, w.window_end, {', '.join(cols)} FROM win w JOIN ph USIN
 c2 AS (SELECT *, city_pm25_lag1_mean - city_pm25_lag2_mean AS city_pm25_mean_delta_1h,
               city_pm25_lag1_other_mean - city_pm25_lag2_other_mean AS city_pm25_other_mean_delta_1h,
               city_pm25_lag1_max - city_pm25_lag1_mean AS city_pm25_peak_spread_lag1 FROM cc)
-SELECT station, window_end, """ + ", ".join(f"round({n}, 6) AS {n}" for n in names) + " FROM c2")
+SELECT station, window_end, """ + ", ".join(f"{half_up(n)} AS {n}" for n in names) + " FROM c2")
 
 
 @query("city_context", _city_sql())
