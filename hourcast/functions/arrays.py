@@ -99,39 +99,3 @@ def ewma_weights(alpha: float, size: int) -> list[float]:
     raw = [(1.0 - alpha) ** i for i in range(size - 1, -1, -1)]
     tot = sum(raw)
     return [r / tot for r in raw]
-
-
-def interpolate(a: Column) -> Column:
-    """Linear interpolation by position; leading/trailing gaps take the nearest
-    value; an all-NULL array stays all-NULL."""
-    idx = F.sequence(F.lit(0), F.size(a) - 1)
-
-    def at(i):
-        return F.element_at(a, i + 1)
-
-    def fill(i):
-        prev = F.array_max(F.filter(idx, lambda j: (j <= i) & at(j).isNotNull()))
-        nxt = F.array_min(F.filter(idx, lambda j: (j >= i) & at(j).isNotNull()))
-        return (
-            F.when(prev.isNull(), at(nxt))
-            .when(nxt.isNull(), at(prev))
-            .when(prev == nxt, at(prev))
-            .otherwise(at(prev) + (at(nxt) - at(prev)) * (i - prev) / (nxt - prev))
-        )
-
-    return F.transform(idx, fill)
-
-
-def ffill_bfill_str(a: Column) -> Column:
-    """Along the array: forward fill, then back fill (for string lags)."""
-    idx = F.sequence(F.lit(0), F.size(a) - 1)
-
-    def at(i):
-        return F.element_at(a, i + 1)
-
-    def fill(i):
-        prev = F.array_max(F.filter(idx, lambda j: (j <= i) & at(j).isNotNull()))
-        nxt = F.array_min(F.filter(idx, lambda j: (j >= i) & at(j).isNotNull()))
-        return F.coalesce(at(prev), at(nxt))
-
-    return F.transform(idx, fill)

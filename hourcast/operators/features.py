@@ -7,7 +7,6 @@ no joins, no per-feature passes, no ``withColumn`` loops.
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -231,18 +230,3 @@ def supplied_rolling_means(windows: DataFrame, size: int = 24, target: str = "pm
         A.mean(win.last(target, 2)).alias(f"{target}_mean_2h"),
         A.mean(win.last(target, 3)).alias(f"{target}_mean_3h"),
     ))
-
-
-def wind_exprs(code: str = "wd_lag_1", speed: Column | None = None) -> dict[str, Column]:
-    """Degrees, compact u/v and rich x/y wind vectors."""
-    deg = F.coalesce(F.col(code), F.lit(None))
-    from hourcast.functions.scalar import wind_degrees
-
-    r = wind_degrees(deg) * F.lit(math.pi / 180.0)
-    out = {"wind_degrees": wind_degrees(deg)}
-    if speed is not None:
-        out.update({
-            "wind_u": speed * F.sin(r), "wind_v": speed * F.cos(r),
-            "wind_x": speed * F.cos(r), "wind_y": speed * F.sin(r),
-        })
-    return out

@@ -127,30 +127,6 @@ def stationwise_time_impute(df: DataFrame, spec: PanelSpec = PanelSpec()) -> Dat
     return filled.select(*stats.fill_exprs(filled))
 
 
-def window_interpolate(windows: DataFrame, stats: ImputeStats, spec: PanelSpec = PanelSpec(), w: str = "w") -> DataFrame:
-    """M7: inside every window, linear interpolation by position per measure
-    (edges take the nearest value); all-NULL -> training median; ``wd_lag_1``
-    -> training mode."""
-    spec_m = [m for m in spec.numeric]
-    cats = [c for c in spec.categorical]
-    wcol = F.col(w)
-    # value arrays first (one transform per measure), then the O(size^2)
-    # position scans read plain array columns
-    staged = windows.select("*", *[A.field(wcol, m).alias(f"_a_{m}") for m in (*spec_m, *cats)])
-
-    def filled(m):
-        med = stats.medians.get(m)
-        arr = A.interpolate(F.col(f"_a_{m}"))
-        return F.transform(arr, lambda x: F.coalesce(x, F.lit(med).cast("double"))) if med is not None else arr
-
-    zipped = F.arrays_zip(*[filled(m).alias(m) for m in spec_m],
-                          *[A.ffill_bfill_str(F.col(f"_a_{c}")).alias(c) for c in cats])
-    out = staged.withColumn(w, zipped).drop(*[f"_a_{m}" for m in (*spec_m, *cats)])
-    if "wd_lag_1" in windows.columns and "wd" in stats.modes:
-        out = out.withColumn("wd_lag_1", F.coalesce(F.col("wd_lag_1"), F.lit(stats.modes["wd"])))
-    return out
-
-
 def interpolated_windows(panel: DataFrame, stats: ImputeStats, spec: PanelSpec = PanelSpec()) -> DataFrame:
     """M7 from the panel, in O(size) per window.
 

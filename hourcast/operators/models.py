@@ -37,6 +37,29 @@ def feature_columns(df: DataFrame, exclude: Sequence[str] = ID_COLS) -> tuple[li
     return num, cat
 
 
+#: Families of features by the first word of their names, and the calendar columns.
+POLLUTION = ("pm25", "pm10", "so2", "no2", "co", "o3")
+WEATHER = ("temp", "pres", "dewp", "rain", "wspm", "wind", "ventilation")
+CALENDAR = ("hour", "month", "dayofweek", "is_weekend", "sin_hour", "cos_hour", "sin_month", "cos_month")
+FEATURE_GROUPS = {
+    "pollution_only": (POLLUTION, ()),
+    "pollution_weather": (POLLUTION + WEATHER, ()),
+    "pollution_weather_calendar": (POLLUTION + WEATHER, CALENDAR),
+    "all_features": None,
+}
+
+
+def feature_group(numeric: Sequence[str], categorical: Sequence[str], group: str) -> tuple[list[str], list[str]]:
+    """The columns of a feature group.  Families go by the word before the first ``_``;
+    categoricals belong to ``all_features`` only."""
+    if group not in FEATURE_GROUPS:
+        raise ValueError(f"unknown feature group {group!r}; known: {sorted(FEATURE_GROUPS)}")
+    if FEATURE_GROUPS[group] is None:
+        return list(numeric), list(categorical)
+    families, exact = FEATURE_GROUPS[group]
+    return [c for c in numeric if c in exact or c.lower().replace(".", "").split("_")[0] in families], []
+
+
 def scaler_stats(train: DataFrame, numeric: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Population mean / std of each numeric column on training rows (one aggregation)."""
     aggs = []

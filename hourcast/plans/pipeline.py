@@ -24,6 +24,16 @@ SPEC = PanelSpec()
 _CACHE: dict = {}
 
 
+def once(spark: SparkSession, key: tuple, make):
+    """``make()`` once per Spark application and key; what ended applications left is dropped."""
+    app = spark.sparkContext.applicationId
+    for old in [k for k in _CACHE if k[0] != app]:
+        del _CACHE[old]
+    if (app, *key) not in _CACHE:
+        _CACHE[app, *key] = make()
+    return _CACHE[app, *key]
+
+
 @dataclass
 class Prepared:
     spec: PanelSpec
@@ -43,19 +53,15 @@ class Prepared:
 
 
 def panel_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = ("panel", id(spark), sf_dir)
-    if key not in _CACHE:
-        _CACHE[key] = cut_lineage(hourly_panel(spark, sf_dir))
-    return _CACHE[key]
+    return once(spark, ("panel", sf_dir), lambda: cut_lineage(hourly_panel(spark, sf_dir)))
 
 
 def prepare(spark: SparkSession, sf_dir: str, fraction: float = 0.8, spec: PanelSpec = SPEC) -> Prepared:
-    key = ("prep", id(spark), sf_dir, fraction, spec)
-    if key not in _CACHE:
+    def make() -> Prepared:
         panel = panel_of(spark, sf_dir)
         cutoff = chronological_cutoff(panel, spec.time, fraction)
         stats = impute_stats_fit(panel.where(F.col(spec.time) <= ts_lit(cutoff)), spec)
         imputed = causal_impute(panel, stats, spec, keep_raw=True)
-        windows = build_windows(imputed, spec)
-        _CACHE[key] = Prepared(spec, panel, cutoff, stats, imputed, windows)
-    return _CACHE[key]
+        return Prepared(spec, panel, cutoff, stats, imputed, build_windows(imputed, spec))
+
+    return once(spark, ("prep", sf_dir, fraction, spec), make)

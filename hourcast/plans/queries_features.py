@@ -187,11 +187,6 @@ def q_f9(spark, sf_dir):
 
 # --------------------------------------------------------------------------- F3-F7 rich rolling
 
-def _dot_sql(m: str, weights: list[float]) -> str:
-    k = len(weights)
-    return "(" + " + ".join(f"{w!r} * {L(m, k - i)}" for i, w in enumerate(weights)) + ")"
-
-
 def _rich_sql(m: str) -> dict[str, str]:
     d = {f"{m}_latest": m}
     for k in (3, 6, 12, 24):
@@ -205,13 +200,16 @@ def _rich_sql(m: str) -> dict[str, str]:
         if k == 24:
             d[f"{p}_q25"] = f"quantile_cont({m}, 0.25) OVER f{k}"
             d[f"{p}_q75"] = f"quantile_cont({m}, 0.75) OVER f{k}"
-        d[f"{p}_slope"] = _dot_sql(m, A.slope_weights(k))
+        # least squares on x = 0..k-1: sum((x - mean) y) / sum((x - mean)^2), the latter k (k^2 - 1) / 12
+        d[f"{p}_slope"] = " + ".join(
+            f"(({k - i} - {k - 1} / 2.0::DOUBLE) / ({k} * ({k} * {k} - 1) / 12.0::DOUBLE)) * {L(m, i)}" for i in range(k, 0, -1))
     d[f"{m}_delta_1h"] = f"{m} - {L(m, 2)}"
     d[f"{m}_delta_3h"] = f"{m} - {L(m, 4)}"
     d[f"{m}_delta_6h"] = f"{m} - {L(m, 7)}"
     d[f"{m}_acceleration_3h"] = f"{m} - 2 * {L(m, 2)} + {L(m, 3)}"
     for a in FT.EWMA_ALPHAS:
-        d[f"{m}_ewma_a{str(a).replace('.', '')}"] = _dot_sql(m, A.ewma_weights(a, 24))
+        terms = " + ".join(f"{L(m, k)} * power(1 - {a}::DOUBLE, {k - 1})" for k in range(1, 25))
+        d[f"{m}_ewma_a{str(a).replace('.', '')}"] = f"({terms}) / ((1 - power(1 - {a}::DOUBLE, 24)) / {a})"
     return d
 
 

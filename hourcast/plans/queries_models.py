@@ -11,11 +11,14 @@ from hourcast.operators import ensemble as E
 from hourcast.operators import metrics as MT
 from hourcast.operators import models as R
 from hourcast.operators.features import compact_frame
+from hourcast.operators.impute import interpolated_windows, keep_raw_target, median_impute
+from hourcast.operators.joins import union_frames
 from hourcast.operators.splits import expanding_folds, late_split_time, split_by_time, ts_lit
-from hourcast.operators.windows import sequence_tensor, standardise_target
-from hourcast.plans.pipeline import prepare
+from hourcast.operators.windows import build_windows, sequence_tensor, standardise_target
+from hourcast.plans.pipeline import once, prepare
 from hourcast.plans.registry import normalise, query
 from hourcast.functions.scalar import clip_nonneg, severe_weights
+from hourcast.session import cut_lineage
 
 #: Sizes of the registered queries; the operators' defaults are larger.
 SMALL_FOREST = {"trees": 20, "depth": 6}
@@ -27,14 +30,8 @@ KEYS = ["station", "window_end", "target_time", "y_true"]
 def _frames(spark, sf_dir, fraction: float = 0.8):
     """Compact feature frame, materialised once per session (reliable
     checkpoint): every model fit makes several passes over it."""
-    from hourcast.plans.pipeline import _CACHE
-    from hourcast.session import cut_lineage
-
     p = prepare(spark, sf_dir, fraction)
-    key = ("features", id(spark), sf_dir, fraction)
-    if key not in _CACHE:
-        _CACHE[key] = cut_lineage(compact_frame(p.windows, p.spec).drop("w"))
-    feats = _CACHE[key]
+    feats = once(spark, ("features", sf_dir, fraction), lambda: cut_lineage(compact_frame(p.windows, p.spec).drop("w")))
     tr, va = split_by_time(feats, p.cutoff)
     num, cat = R.feature_columns(feats)
     return p, tr, va, num, cat
@@ -57,6 +54,29 @@ def q_ml(spark, sf_dir):
     return normalise(MT.rmse_mae(reduce(lambda a, b: a.unionByName(b), preds)))
 
 
+def _imputed_windows(p, how: str):
+    """24 h windows under an imputation other than the causal one; targets stay raw."""
+    if how == "window_interpolate":
+        return interpolated_windows(p.panel, p.stats, p.spec)
+    return build_windows(median_impute(keep_raw_target(p.panel, p.spec), p.stats), p.spec)
+
+
+@query("ablation_matrix")
+def q_x3(spark, sf_dir):
+    """The same Ridge under three imputations and P19 feature groups (all groups for the
+    causal one, every feature for the others), scored by A1 on the validation windows."""
+    p, tr, va, num, cat = _frames(spark, sf_dir)
+    cases = [("causal", g, tr, va) for g in R.FEATURE_GROUPS]
+    for how in ("window_interpolate", "median"):
+        feats = once(spark, ("ablation", how, sf_dir), lambda how=how: cut_lineage(
+            compact_frame(_imputed_windows(p, how), p.spec).drop("w")))
+        cases.append((how, "all_features", *split_by_time(feats, p.cutoff)))
+    preds = [R.fit_predict(R.ridge(a), a, b, *R.feature_group(num, cat, g), name=f"{how}:{g}")[0] for how, g, a, b in cases]
+    out = MT.rmse_mae(union_frames(preds))
+    name = F.split("model", ":")
+    return normalise(out.select(name[0].alias("imputation"), name[1].alias("feature_group"), *[c for c in out.columns if c != "model"]))
+
+
 @query("feature_importance")
 def q_importance(spark, sf_dir):
     """Boosted-tree importances summed back to source columns."""
@@ -102,7 +122,8 @@ def q_stacks(spark, sf_dir):
     w_stack, b0 = E.ridge_stack_nonneg(wide, models, 1.0)
     cands = [E.weighted_prediction(late, w_pos, "ensemble_positive_linear", KEYS),
              E.weighted_prediction(late, w_stack, "ridge_stack_nonneg", KEYS, intercept=b0)]
-    return normalise(MT.rmse_mae(reduce(lambda a, b: a.unionByName(b), cands)))
+    scored = reduce(lambda a, b: a.unionByName(b), cands).withColumn("prediction", clip_nonneg("prediction"))
+    return normalise(MT.rmse_mae(scored))
 
 
 @query("rolling_origin_ridge")
