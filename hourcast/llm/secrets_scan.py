@@ -40,7 +40,8 @@ DIGEST_LENGTHS = frozenset((32, 40, 56, 64, 96, 128))
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 #: Words (with a short number at most), numbers and versions, joined by separators: names that people write.
-IDENTIFIER = re.compile(r"(?:(?:[A-Z]?[a-z]+|[A-Z]+)+[0-9]{0,4}|[0-9]+)(?:[-_./=+](?:(?:[A-Z]?[a-z]+|[A-Z]+)*[0-9]{0,4}|[0-9]+))*")
+#: No character can be matched in two ways and nothing is given back, so a run that fails late costs linear time.
+IDENTIFIER = re.compile(r"(?:[A-Za-z]++[0-9]{0,4}+|[0-9]++)(?:[-_./=+](?:[A-Za-z]++[0-9]{0,4}+|[0-9]*+))*+")
 MOST_CHARS_PER_TOKEN = 2.2
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
