@@ -1,12 +1,14 @@
 """Operator 4: secret scans by a token-efficiency test.
 
 A byte-pair vocabulary trained on prose and code spends few tokens on what people
-write and many on random strings.  Every maximal run of key characters that mixes
-letters and digits is encoded with a tiktoken vocabulary; runs with few
-characters per token are reported as ``random``, after excluding known digests
-(plain hex of a digest's length), UUIDs and identifiers (words, versions, dates,
-numbers, joined by separators).  Three base kinds (``assign``, ``access``, ``hex``)
-are matched by pattern and always stay.
+write and many on random strings.  Every maximal run of key characters with a
+letter is encoded with a tiktoken vocabulary; runs with few characters per token are
+reported as ``random``, after excluding known digests (plain hex of a digest's
+length), UUIDs and identifiers (words, versions, dates, numbers, joined by
+separators; words are told from random letters by the lengths of their tokens).  Of
+any other run the stretches of separator-delimited pieces with few characters per
+token are reported, so names and paths beside a secret do not hide it.  Three base
+kinds (``assign``, ``access``, ``hex``) are matched by pattern and always stay.
 
 Spans are of the whole match, in code points, end exclusive.  Defined cases: null
 and empty texts have no spans; texts are scanned whole; repeated rows give
@@ -34,14 +36,18 @@ ASSIGN = re.compile(
 #: Failing matches of these are shorter runs of the same characters, so a least length in the pattern drops just them.
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
-#: Candidates of the method: runs of key characters with a digit in them.
-RUN = re.compile(r"[A-Za-z0-9+/_=.-]{16,}")
+#: Candidates of the method: runs of key characters with a letter in them.
+LEAST_RUN = 16
+RUN = re.compile(rf"[A-Za-z0-9+/_=.-]{{{LEAST_RUN},}}")
+PIECE = re.compile(r"[A-Za-z0-9]+")
+LETTER = re.compile(r"[A-Za-z]")
 DIGEST_LENGTHS = frozenset((32, 40, 56, 64, 96, 128))
-UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+UUID = re.compile(r"(?<![0-9A-Za-z])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9A-Za-z])")
 HEX_ONLY = re.compile(r"[0-9a-f]+|[0-9A-F]+")
-#: Words (with a short number at most), numbers and versions, joined by separators: names that people write.
+#: Shape of names that people write: words (with a short number at most), numbers and versions, joined by separators.
 #: No character can be matched in two ways and nothing is given back, so a run that fails late costs linear time.
 IDENTIFIER = re.compile(r"(?:[A-Za-z]++[0-9]{0,4}+|[0-9]++)(?:[-_./=+](?:[A-Za-z]++[0-9]{0,4}+|[0-9]*+))*+")
+NAME = re.compile(r"([A-Za-z]*+)[0-9]{0,4}+|[0-9]++")
 MOST_CHARS_PER_TOKEN = 2.2
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -61,20 +67,74 @@ def load_encoding(path: str):
     return tiktoken.Encoding("scan", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def excluded(run: str) -> bool:
+def is_name(piece: str, encoding, most: float) -> bool:
+    """Whether a piece is a number, or letters that the vocabulary knows as words and a short number.
+
+    A piece too short to be reported alone may have one token more: abbreviations."""
+    m = NAME.fullmatch(piece)
+    if not m:
+        return False
+    letters = m.group(1) or ""
+    grace = 1 if len(letters) < LEAST_RUN else 0
+    # names in capitals are known by their lower-cased words
+    n = min(len(encoding.encode_ordinary(x)) for x in {letters, letters.lower()})
+    return len(letters) < 4 or len(letters) > most * (n - grace)
+
+
+def excluded(run: str, encoding, most: float = MOST_CHARS_PER_TOKEN) -> bool:
     """Known digests and identifiers are random-looking but no secrets."""
     if HEX_ONLY.fullmatch(run) and len(run) in DIGEST_LENGTHS:
         return True
-    return bool(UUID.fullmatch(run) or IDENTIFIER.fullmatch(run))
+    if UUID.fullmatch(run):
+        return True
+    return bool(IDENTIFIER.fullmatch(run.strip("-_./=+"))) and all(is_name(p, encoding, most) for p in PIECE.findall(run))
+
+
+def random_stretches(run: str, encoding, most: float) -> Iterator[tuple[int, int]]:
+    """Stretches of pieces with at most ``most`` characters per token, names, digests and UUIDs counting against them.
+
+    Each piece scores ``most`` a token less its length; these are the maximal scoring
+    stretches (Ruzzo and Tompa), in time linear in the run's pieces."""
+    uuids = [m.span() for m in UUID.finditer(run)]
+    # per stretch: start, end, score of all before it, score up to its end
+    found: list[tuple[int, int, float, float]] = []
+    total, u = 0.0, 0
+    for m in PIECE.finditer(run):
+        a, b = m.span()
+        piece = m.group()
+        while u < len(uuids) and uuids[u][1] <= a:
+            u += 1
+        known = u < len(uuids) and uuids[u][0] <= a
+        if known or (HEX_ONLY.fullmatch(piece) and len(piece) in DIGEST_LENGTHS) or is_name(piece, encoding, most):
+            total -= b - a
+            continue
+        score = most * len(encoding.encode_ordinary(piece)) - (b - a)
+        if score <= 0:
+            total += score
+            continue
+        new = (a, b, total, total + score)
+        total += score
+        while found:
+            at = len(found) - 1
+            while at >= 0 and found[at][2] >= new[2]:
+                at -= 1
+            if at < 0 or found[at][3] >= new[3]:
+                break
+            new = (found[at][0], b, found[at][2], new[3])
+            del found[at:]
+        found.append(new)
+    yield from ((a, b) for a, b, _, _ in found if b - a >= LEAST_RUN)
 
 
 def random_runs(text: str, encoding, most: float = MOST_CHARS_PER_TOKEN) -> Iterator[tuple[int, int]]:
     for m in RUN.finditer(text):
         run = m.group()
-        if not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run) or excluded(run):
+        if not LETTER.search(run) or excluded(run, encoding, most):
             continue
         if len(run) <= most * len(encoding.encode_ordinary(run)):
             yield m.span()
+        else:
+            yield from ((m.start() + a, m.start() + b) for a, b in random_stretches(run, encoding, most))
 
 
 def scan_text(text: str, encoding, most: float = MOST_CHARS_PER_TOKEN) -> list[tuple[int, int, int]]:

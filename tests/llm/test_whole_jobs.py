@@ -1,6 +1,8 @@
 """Inputs on which an operator once did less than the whole job."""
 
 import os
+import random
+import string
 import subprocess
 import sys
 
@@ -16,3 +18,27 @@ for name in ("release-2024-01-02", "some_variable_name_12", "HTTPServer2", "1.2.
     assert bool(IDENTIFIER.fullmatch(name)) == (name != "x12345")
 """
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=60)
+
+
+def test_random_runs_beside_names():
+    from hourcast.llm import secrets_scan as S
+
+    encoding = S.load_encoding(S.vocabulary_path())
+    found = lambda t: [t[a:b] for a, b in S.random_runs(t, encoding)]
+    path = "www.example.com/some/long/path/of/the/site/index/page/view.html/session="
+    rng = random.Random(7)
+    for letters, length in ((string.ascii_letters + string.digits, 24), (string.ascii_letters, 20), (string.ascii_lowercase, 40)):
+        for before in ("", "production.database.credentials.token=", path):
+            keys = ["".join(rng.choices(letters, k=length)) for _ in range(200)]
+            assert sum(any(k in f for f in found(before + k)) for k in keys) >= 190
+    assert any("xKqZvTgHjWpLsDfRbNmY7" in f for f in found("xKqZvTgHjWpLsDfRbNmY7"))
+    parts = ["".join(rng.choices(string.ascii_letters + string.digits, k=20)) for _ in range(2)]
+    spans = found(path + "+".join(parts) + "/index/page/view")
+    assert len(spans) == 1 and "+".join(parts) in spans[0]  # one secret, not two
+    for name in (
+        path + "12", "getting_started_with_distributed_processing_2x", "__NORMALIZE_WHITESPACE__", "releases/2024-01-02/notes_v2.1.0",
+        "internationalization", "=" * 30 + "a", "archive.tar.gz/archive.tar.xz",
+    ):
+        assert found(name) == [], name
+    for known in ("0f" * 20, "123e4567-e89b-12d3-a456-426614174000"):
+        assert found("international/information/" * 6 + known) == []
