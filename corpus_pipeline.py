@@ -21,6 +21,8 @@ from hourcast.llm.mixing import mix_sources
 LEAST_LANGUAGE_SCORE = 0.2
 #: Near duplicates are judged on shingles of five words.
 WIDTH = 5
+#: Expected size of the mixed sample: this share of the tokens that reach the stage.
+MIX_SHARE = 0.5
 
 
 def keep(docs: DataFrame, kept: DataFrame) -> DataFrame:
@@ -50,8 +52,8 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample of documents in the target mix of sources, languages and topics."""
-    return keep(docs, mix_sources(docs).where("kept"))
+    """A sample of documents in the target mix of sources, languages and topics, ``MIX_SHARE`` of the tokens."""
+    return keep(docs, mix_sources(docs, keep_share=MIX_SHARE).where("kept"))
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

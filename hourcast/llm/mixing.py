@@ -5,6 +5,10 @@ cells' token weights are raked: each round scales them to the source, then the
 language, then the topic targets.  A document's inclusion probability is its
 cell's calibrated weight per token, scaled so that the largest is 1 (the largest
 sample in the target mix without repeats); a hash of doc_id and seed decides.
+That scale hangs on one cell, so ``keep_share`` fixes the expected sample instead:
+that share of all tokens.  Categories and cells too small for their part are kept
+whole (probability 1) and the others raked to the rest, so a rare cell cannot shrink
+the sample.
 
 The targets are tempered token shares, ``share ** alpha`` renormalised, which
 lifts small sources and languages as multilingual corpora do; pass ``targets``
@@ -93,8 +97,47 @@ def rake(cells: DataFrame, targets: DataFrame, rounds: int = ROUNDS) -> DataFram
     return out.select(*DIMS, "tokens", "docs", "w", (per_token / F.max(per_token).over(total)).alias("prob"))
 
 
+def fill_scale(cap: Column, share: Column, total: Column, tie: str) -> Column:
+    """The factor f with ``sum(least(cap, f * share)) = total`` over all rows; null in rows at their caps.
+
+    By cap / share ascending, a row is at its cap when the factor of it and the rows behind it would pass that cap."""
+    order = [cap / share, F.col(tie)]
+    before = Window.partitionBy().orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    behind = Window.partitionBy().orderBy(*(o.desc() for o in order)).rowsBetween(Window.unboundedPreceding, 0)
+    factor = (total - F.coalesce(F.sum(cap).over(before), F.lit(0.0))) / F.sum(share).over(behind)
+    return F.when(cap > factor * share, factor)
+
+
+def rake_within(cells: DataFrame, targets: DataFrame, keep_share: float, rounds: int = ROUNDS) -> DataFrame:
+    """Cells with ``prob`` = ``least(1, w / tokens)``, raked to a sample of ``keep_share`` of all tokens.
+
+    Each step scales a category's cells so that those below their bound fill what the
+    cells at their bound leave of its target.  The fixed point is the sample nearest to
+    the corpus that meets the targets with no document twice."""
+    for d in DIMS:
+        t = cells.groupBy(F.col(d)).agg(F.sum("tokens").cast("double").alias("cap")).join(
+            targets.where(F.col("dim") == d).select(F.col("category").alias(d), F.col("weight").alias("share")), d
+        )
+        every = Window.partitionBy()
+        t = t.withColumn("total", F.sum("cap").over(every) * F.lit(float(keep_share)))
+        t = t.withColumn("f", fill_scale(F.col("cap"), F.col("share"), F.col("total"), d))
+        t = t.select(d, F.coalesce(F.least(F.col("cap"), F.max("f").over(every) * F.col("share")), F.col("cap")).alias(f"b_{d}"))
+        cells = cells.join(t, d)
+    cap = F.col("tokens").cast("double")
+    out = materialise(cells.withColumn("w", cap * F.lit(float(keep_share))), "cells")
+    for i in range(rounds):
+        for d in DIMS:
+            b, w = F.col(f"b_{d}"), Window.partitionBy(d)
+            at = F.sum(F.when(F.col("w") >= cap, cap).otherwise(F.lit(0.0))).over(w)
+            below = F.sum(F.when(F.col("w") < cap, F.col("w")).otherwise(F.lit(0.0))).over(w)
+            out = out.withColumn("w", F.col("w") * F.when((below > 0) & (at < b), (b - at) / below).otherwise(b / (at + below)))
+        if i % 4 == 3 and i + 1 < rounds:
+            out = materialise(out, "cells")
+    return out.select(*DIMS, "tokens", "docs", "w", F.least(F.lit(1.0), F.col("w") / cap).alias("prob"))
+
+
 def mix_sources(docs: DataFrame, alpha: dict[str, float] = ALPHA, rounds: int = ROUNDS, seed: int = SEED,
-                targets: DataFrame | None = None) -> DataFrame:
+                targets: DataFrame | None = None, keep_share: float | None = None) -> DataFrame:
     """Per row: doc_id, source, lang, topic, tokens, prob, kept."""
     rows = materialise(docs.select(
         "doc_id",
@@ -104,7 +147,8 @@ def mix_sources(docs: DataFrame, alpha: dict[str, float] = ALPHA, rounds: int =
         F.greatest(F.lit(1), F.coalesce(F.regexp_count("text", F.lit("[^ \\t\\n\\x0B\\f\\r]+")), F.lit(0))).cast("long").alias("tokens"),
     ), "mix-rows")
     cells = materialise(cells_of(rows), "mix-cells")
-    raked = materialise(rake(cells, tempered_targets(cells, alpha) if targets is None else targets, rounds), "raked")
+    targets = tempered_targets(cells, alpha) if targets is None else targets
+    raked = materialise(rake(cells, targets, rounds) if keep_share is None else rake_within(cells, targets, keep_share, rounds), "raked")
     probs = raked.select(*DIMS, "prob")
     if raked.count() <= BROADCAST_CELLS:
         probs = F.broadcast(probs)

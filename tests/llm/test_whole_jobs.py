@@ -42,3 +42,18 @@ def test_random_runs_beside_names():
         assert found(name) == [], name
     for known in ("0f" * 20, "123e4567-e89b-12d3-a456-426614174000"):
         assert found("international/information/" * 6 + known) == []
+
+
+def test_mixing_keeps_its_share(spark):
+    """One rare row does not change how much of the rest the pipeline's mixing stage keeps."""
+    import corpus_pipeline as C
+    from hourcast.llm.mixing import mix_sources
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id is not null").select("doc_id", "text", "lang", "source")
+    rare = spark.createDataFrame([(10**9, "one two three four five", "xx", "rare")], docs.schema)
+    kept = C.mixing_stage(spark, docs.union(rare), "").where("doc_id < 1000000000").count()
+    assert abs(kept / docs.count() - C.MIX_SHARE) < 0.02  # 0.085 where the largest probability was scaled to 1
+    rows = mix_sources(docs.union(rare), keep_share=C.MIX_SHARE).collect()
+    assert all(0 <= r.prob <= 1 for r in rows) and [r.prob for r in rows if r.source == "rare"] == [1.0]
+    tokens = sum(r.tokens for r in rows)
+    assert abs(sum(r.prob * r.tokens for r in rows) / tokens - C.MIX_SHARE) < 0.005
