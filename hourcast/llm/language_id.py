@@ -1,7 +1,7 @@
 """Operator 6: language identification with language-bitmask n-gram filters.
 
 The model is a bit-sliced Bloom filter: a table of bitmasks, one bit per
-language, so a lookup ANDs the masks at an n-gram's positions and returns all
+language in as many 64-bit words as the languages need, so a lookup ANDs the masks at an n-gram's positions and returns all
 languages whose training text holds it.  A text's n-grams are counted per
 language (popcounts), the counts are corrected for the filter's false positives
 (the share of slots set for that language, to the power of the number of
@@ -19,7 +19,7 @@ ties go to the alphabetically first language; an empty table gives no rows.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,11 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourcast.llm.common import mix64, table
+from hourcast.llm.common import materialise, mix64, table
 
 #: Bound of the labelled sample the filters are fitted on: rows per language, those of smallest hash.
 MOST_TRAINING_ROWS = 4000
-MOST_LANGUAGES = 64
+WORD_BITS = 64
 CODE_BITS = 20
 SLOT_BITS = 22
 POSITIONS = 3
@@ -65,7 +65,7 @@ def positions(codes: np.ndarray) -> list[np.ndarray]:
 @dataclass
 class LanguageModel:
     languages: list[str]
-    #: Languages of each n-gram code: the filter's answer, looked up once for every code there is.
+    #: Languages of each n-gram code, a row per word of 64 languages: the filter's answer, looked up once for every code there is.
     masks: np.ndarray
     false_rates: np.ndarray
 
@@ -87,9 +87,12 @@ class LanguageModel:
         lengths = np.array([len(p) for p in parts])
         ends = np.cumsum(lengths)
         starts = ends - lengths
-        masks = self.masks[gram_codes(b"".join(parts) + b"   ")]
+        codes = gram_codes(b"".join(parts) + b"   ")
         for i in range(len(self.languages)):
-            hits = np.concatenate([[0], np.cumsum((masks >> masks.dtype.type(i)) & masks.dtype.type(1), dtype=np.int64)])
+            bit = i % WORD_BITS
+            if bit == 0:
+                masks = self.masks[i // WORD_BITS][codes]
+            hits = np.concatenate([[0], np.cumsum((masks >> masks.dtype.type(bit)) & masks.dtype.type(1), dtype=np.int64)])
             last = np.maximum(ends - 3, starts)
             n = np.maximum(last - starts, 1)
             count = hits[last] - hits[starts]
@@ -104,80 +107,99 @@ def held_out(doc_id, of: int, remainder: int):
 
 def fit_language_model(docs: DataFrame, most_rows: int = MOST_TRAINING_ROWS) -> LanguageModel:
     """Filters from rows ``(doc_id, text, lang)``; the n-gram counts of at most
-    ``most_rows`` rows per language are summed on the executors into one array of
-    2^20 counters per language (at most 64), which is all that the driver gets."""
+    ``most_rows`` rows per language are summed on the executors into one sparse array
+    of at most 2^20 counters per language, which the driver reads one at a time."""
     known = docs.where("lang is not null and text is not null")
-    sizes = known.groupBy("lang").count().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    sizes = known.groupBy("lang").count().orderBy("lang").collect()
     seen = [r["lang"] for r in sizes]
     if not seen:
-        return LanguageModel([], np.zeros(1 << CODE_BITS, np.uint8), np.zeros(0))
-    rows = known.select("lang", F.xxhash64("doc_id").alias("h"), "text")
+        return LanguageModel([], np.zeros((1, 1 << CODE_BITS), np.uint8), np.zeros(0))
     # hashes are uniform: a threshold per language keeps about most_rows of its rows
-    keep = F.lit(False)
-    for r in sizes:
-        top = int(-(1 << 63) + min(1.0, most_rows / r["count"]) * ((1 << 64) - 1))
-        keep = keep | ((F.col("lang") == r["lang"]) & (F.col("h") <= F.lit(min(top, (1 << 63) - 1))))
-    index = {x: i for i, x in enumerate(seen)}
+    tops = [int(-(1 << 63) + min(1.0, most_rows / r["count"]) * ((1 << 64) - 1)) for r in sizes]
+    least = docs.sparkSession.createDataFrame(
+        [(x, min(top, (1 << 63) - 1)) for x, top in zip(seen, tops, strict=True)], "lang string, top long"
+    )
+    rows = known.select("lang", F.xxhash64("doc_id").alias("h"), F.col("text").cast("binary").alias("text"))
+    rows = rows.join(F.broadcast(least), "lang").where("h <= top").select("lang", "text")
+
+    def pack(x: str, c: np.ndarray) -> pa.RecordBatch:
+        at = np.flatnonzero(c)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x]), pa.array([at.astype("<i4").tobytes()], pa.binary()), pa.array([c[at].astype("<i8").tobytes()], pa.binary())],
+            ["lang", "codes", "counts"],
+        )
 
+    # rows come by language, so a task holds the counters of one language at a time
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, np.ndarray] = {}
+        now, c = None, None
         for batch in batches:
             by: dict[str, list[bytes]] = {}
             for x, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 by.setdefault(x, []).append(clean(t))
             for x, texts in by.items():
-                c = counts.setdefault(x, np.zeros(1 << CODE_BITS, np.int64))
+                if x != now:
+                    if now is not None:
+                        yield pack(now, c)
+                    now, c = x, np.zeros(1 << CODE_BITS, np.int64)
                 c += np.bincount(gram_codes(b"".join(texts)), minlength=1 << CODE_BITS)
-        for x, c in counts.items():
-            at = np.flatnonzero(c)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x]), pa.array([at.astype("<i4").tobytes()], pa.binary()), pa.array([c[at].astype("<i8").tobytes()], pa.binary())],
-                ["lang", "codes", "counts"],
-            )
-
-    packed = rows.where(keep).select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(
-        count, "lang string, codes binary, counts binary"
-    )
+        if now is not None:
+            yield pack(now, c)
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = {}
+        now, s = None, None
         for batch in batches:
             for x, a, c in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                s = sums.setdefault(x, np.zeros(1 << CODE_BITS, np.int64))
+                if x != now:
+                    if now is not None:
+                        yield pack(now, s)
+                    now, s = x, np.zeros(1 << CODE_BITS, np.int64)
                 s[np.frombuffer(a, "<i4")] += np.frombuffer(c, "<i8")
-        for x, s in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([x]), pa.array([s.astype("<i8").tobytes()], pa.binary())], ["lang", "counts"])
+        if now is not None:
+            yield pack(now, s)
 
+    schema = "lang string, codes binary, counts binary"
+    packed = rows.sortWithinPartitions("lang").mapInArrow(count, schema)
     # one sparse array per task and language, summed by language
-    sums = packed.repartition(len(seen), "lang").mapInArrow(total, "lang string, counts binary")
-    counts = np.zeros((len(seen), 1 << CODE_BITS))
-    for r in sums.toLocalIterator():
-        counts[index[r["lang"]]] += np.frombuffer(r["counts"], "<i8")
-    return build_filters(seen, counts)
+    sums = materialise(packed.repartition(len(seen), "lang").sortWithinPartitions("lang").mapInArrow(total, schema), "lang-counts")
+
+    def shares(languages: list[str]) -> Iterator[tuple[str, np.ndarray]]:
+        """Each language's share per n-gram code, dense, one language at a time."""
+        of = sums if languages is seen else sums.where(F.col("lang").isin(languages))
+        for r in of.toLocalIterator():
+            c = np.zeros(1 << CODE_BITS)
+            c[np.frombuffer(r["codes"], "<i4")] = np.frombuffer(r["counts"], "<i8")
+            yield r["lang"], c / max(c.sum(), 1)
+
+    return build_filters(seen, shares)
 
 
-def build_filters(languages: list[str], counts: np.ndarray) -> LanguageModel:
-    share = counts / np.maximum(counts.sum(1, keepdims=True), 1)
-    chosen = (share >= LEAST_SHARE) & (share >= LEAST_PART * share.max(0)) & (counts > 0)
-    slices = np.zeros(1 << SLOT_BITS, np.uint64)
+def build_filters(languages: list[str], shares: Callable[[list[str]], Iterator[tuple[str, np.ndarray]]]) -> LanguageModel:
+    """Filters from each language's shares, read once for the best ones and once by words of 64 languages."""
+    best = np.zeros(1 << CODE_BITS)
+    for _, share in shares(languages):
+        np.maximum(best, share, out=best)
     where = positions(np.arange(1 << CODE_BITS))
-    for i in range(len(languages)):
-        on = np.flatnonzero(chosen[i])
-        for p in where:
-            slices[p[on]] |= np.uint64(1 << i)
-    masks = slices[where[0]]
-    for p in where[1:]:
-        masks &= slices[p]
-    filled = np.array([np.mean((slices >> np.uint64(i)) & np.uint64(1)) for i in range(len(languages))])
-    return LanguageModel(languages, masks.astype(np.min_scalar_type((1 << len(languages)) - 1)), filled ** POSITIONS)
+    masks, filled = [], []
+    for start in range(0, len(languages), WORD_BITS):
+        word = languages if len(languages) <= WORD_BITS else languages[start:start + WORD_BITS]
+        index = {x: i for i, x in enumerate(word)}
+        slices = np.zeros(1 << SLOT_BITS, np.uint64)
+        for x, share in shares(word):
+            on = np.flatnonzero((share >= LEAST_SHARE) & (share >= LEAST_PART * best) & (share > 0))
+            for p in where:
+                slices[p[on]] |= np.uint64(1 << index[x])
+        mask = slices[where[0]]
+        for p in where[1:]:
+            mask &= slices[p]
+        masks.append(mask.astype(np.min_scalar_type((1 << len(languages)) - 1) if len(languages) <= WORD_BITS else np.uint64))
+        filled += [np.mean((slices >> np.uint64(i)) & np.uint64(1)) for i in range(len(word))]
+    return LanguageModel(languages, np.stack(masks), np.array(filled) ** POSITIONS)
 
 
 def identify(docs: DataFrame, model: LanguageModel, columns: tuple[str, ...] | list[str] = ("doc_id",),
              text: str = "text") -> DataFrame:
     """Rows of ``docs`` with ``columns``, lang_pred and lang_score (0 to 1)."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.masks, model.false_rates))  # 1 to 8 MB whatever the input
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.masks, model.false_rates))  # 1 to 8 MB per 64 languages whatever the input
     columns = list(columns)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

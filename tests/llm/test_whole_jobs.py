@@ -57,3 +57,17 @@ def test_mixing_keeps_its_share(spark):
     assert all(0 <= r.prob <= 1 for r in rows) and [r.prob for r in rows if r.source == "rare"] == [1.0]
     tokens = sum(r.tokens for r in rows)
     assert abs(sum(r.prob * r.tokens for r in rows) / tokens - C.MIX_SHARE) < 0.005
+
+
+def test_more_than_64_languages(spark):
+    """Each of 130 languages has words of its own, in the first, second and third word of the masks."""
+    from hourcast.llm.language_id import fit_language_model, identify
+
+    rng = random.Random(11)
+    words = {f"l{i:03}": ["".join(rng.choices(string.ascii_lowercase, k=9)) for _ in range(12)] for i in range(130)}
+    rows = [(10 * i + j, " ".join(rng.choices(w, k=60)), x) for i, (x, w) in enumerate(words.items()) for j in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit_language_model(docs.where("doc_id % 10 > 0"))
+    assert model.languages == sorted(words) and len(model.masks) == 3
+    got = {r.doc_id: r.lang_pred for r in identify(docs.where("doc_id % 10 = 0"), model).collect()}
+    assert len(got) == 130 and all(got[d] == x for d, _, x in rows if d % 10 == 0)
