@@ -1,7 +1,7 @@
 """Operator 8: toxicity by non-negative positive-unlabelled learning.
 
-The classifier is fitted from confirmed toxic documents (P) and unlabelled text
-(U) alone.  With class prior pi and logistic loss l, the risk of score function g is
+The classifier is fitted from confirmed toxic documents (P) and text taken as
+unlabelled (U: a sample of all trainable documents, whatever their label) alone.  With class prior pi and logistic loss l, the risk of score function g is
 ``pi E_P[l(g)] + max(0, E_U[l(-g)] - pi E_P[l(-g)])``: unlabelled text stands in for
 the negatives after taking out its toxic share, and the estimate of the negative
 part may not fall below zero; where a step finds it negative, that part is ascended.
@@ -65,13 +65,11 @@ def pu_rows(docs: DataFrame, labels: DataFrame, trainable: Column,
     """Training rows ``(positive, text)`` and the class prior among labelled rows."""
     by_id = labels.where(F.col("toxic").isNotNull() & trainable).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     prior = by_id.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
-    rows = docs.where(trainable).join(by_id, "doc_id", "left").select(
-        F.xxhash64("doc_id").alias("h"), (F.col("toxic") == 1).alias("positive"), "toxic", F.col("text").cast("binary").alias("text")
-    )
-    p, u = rows.where("toxic = 1"), rows.where("toxic is null")
-    p = p.where(smallest_hashes(p, most_positive))
-    u = u.where(smallest_hashes(u, most_unlabelled))
-    return p.union(u).select(F.coalesce("positive", F.lit(False)).alias("positive"), "text"), float(prior or 0.0)
+    u = docs.where(trainable).select("doc_id", F.xxhash64("doc_id").alias("h"), F.col("text").cast("binary").alias("text"))
+    p = u.join(by_id.where("toxic = 1"), "doc_id", "left_semi")
+    p = p.where(smallest_hashes(p, most_positive)).select(F.lit(True).alias("positive"), "text")
+    u = u.where(smallest_hashes(u, most_unlabelled)).select(F.lit(False).alias("positive"), "text")
+    return p.union(u), float(prior or 0.0)
 
 
 def pick_words(rows: DataFrame, most: int = MOST_WORDS) -> list[bytes]:

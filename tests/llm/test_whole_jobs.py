@@ -71,3 +71,17 @@ def test_more_than_64_languages(spark):
     assert model.languages == sorted(words) and len(model.masks) == 3
     got = {r.doc_id: r.lang_pred for r in identify(docs.where("doc_id % 10 = 0"), model).collect()}
     assert len(got) == 130 and all(got[d] == x for d, _, x in rows if d % 10 == 0)
+
+
+def test_toxicity_of_fully_labelled_table(spark):
+    from pyspark.sql import functions as F
+
+    from hourcast.llm.toxicity import fit_toxicity, score_toxicity
+
+    rng = random.Random(12)
+    words = ["".join(rng.choices(string.ascii_lowercase, k=6)) for _ in range(300)]
+    rows = [(i, " ".join(rng.choices(words, k=30) + ["vile", "filth"] * (i % 5 == 0)), int(i % 5 == 0)) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = fit_toxicity(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), F.lit(True))
+    scores = {r.doc_id: r.score for r in score_toxicity(docs, model).collect()}
+    assert min(scores[i] for i in range(0, 600, 5)) > 0.7 and max(scores[i] for i in range(600) if i % 5) < 0.3
