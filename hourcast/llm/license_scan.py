@@ -4,8 +4,8 @@ A rule is a regular expression over the text's words (joined by single spaces)
 with a label, a priority and a confidence.  The rules are hundreds: hand-written
 stems times versions and forms.  A keyword prefilter decides which rules run on a
 text.  Overlapping detections are resolved in order of priority: a detection
-contained in one of a better rule is suppressed, and of two that overlap in part
-the better stays.  The base phrases are found apart and always stay.
+contained in one of a better rule is suppressed, and of two of the same label that
+overlap in part the better stays.  The base phrases are found apart and always stay.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-cased.
 Defined cases: null and empty texts have no words, no places, score 0; texts are
@@ -66,7 +66,8 @@ FAMILIES = (
     ("eupl", "union public", ("1 0", "1 1", "1 2"), ("european union public licen[cs]e (?:version |v ?)?{v}",)),
     ("zpl", "zope", ("1 1", "2 0", "2 1"), ("zope public license (?:version |v ?)?{v}",)),
     ("lppl", "latex project", ("1 0", "1 1", "1 2", "1 3", "1 3c"), ("latex project public license (?:version |v ?)?{v}",)),
-    ("python", "python", ("2", "2 0"), ("python software foundation license (?:version |v ?)?{v}", "psf license (?:version |v ?)?{v}")),
+    ("python", "python", ("2", "2 0"), ("python software foundation license (?:version |v ?)?{v}",)),
+    ("python", "psf", ("2", "2 0"), ("psf license (?:version |v ?)?{v}",)),
     ("odbl", "open database", ("1 0",), ("open database license (?:version |v ?)?{v}",)),
     ("ecl", "educational community", ("1 0", "2 0"), ("educational community license (?:version |v ?)?{v}",)),
 )
@@ -130,13 +131,13 @@ def build_rules() -> list[Rule]:
 
 
 def detect(words: bytes, rules: list[Rule]) -> list[tuple[int, int, Rule]]:
-    """Detections in space-joined words that no better rule's detection contains or overlaps."""
+    """Detections in space-joined words that no better rule's detection contains, nor one of their label overlaps."""
     present = {}
     kept: list[tuple[int, int, Rule]] = []
     for r in rules:
         if present.setdefault(r.keyword, r.keyword in words):
             for m in r.pattern.finditer(words):
-                if all(m.end() <= a or m.start() >= b for a, b, _ in kept):
+                if not any(a <= m.start() and m.end() <= b or x.label == r.label and m.start() < b and a < m.end() for a, b, x in kept):
                     kept.append((m.start(), m.end(), r))
     return kept
 

@@ -85,3 +85,13 @@ def test_toxicity_of_fully_labelled_table(spark):
     model = fit_toxicity(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), F.lit(True))
     scores = {r.doc_id: r.score for r in score_toxicity(docs, model).collect()}
     assert min(scores[i] for i in range(0, 600, 5)) > 0.7 and max(scores[i] for i in range(600) if i % 5) < 0.3
+
+
+def test_licenses_that_share_a_word():
+    from hourcast.llm import license_scan as L
+
+    labels = lambda t: sorted({r.label for _, _, r in L.detect(t, L.build_rules())})
+    assert labels(b"bsd license mit") == ["bsd", "mit"]
+    assert labels(b"psf license 2 0") == ["python"]
+    assert labels(b"gnu lesser general public license version 2") == ["lgpl"]  # gpl's detection is contained
+    assert labels(b"cc by sa 4 0") == ["cc-by-sa"]
