@@ -2,10 +2,13 @@
 
 import os
 import random
+import re
 import string
 import subprocess
 import sys
 
+import duckdb
+
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -95,3 +98,32 @@ def test_licenses_that_share_a_word():
     assert labels(b"psf license 2 0") == ["python"]
     assert labels(b"gnu lesser general public license version 2") == ["lgpl"]  # gpl's detection is contained
     assert labels(b"cc by sa 4 0") == ["cc-by-sa"]
+
+
+def test_queries_equal_plain_python(spark):
+    """Every column of op4 and op10 on sf0.001, from the texts one at a time."""
+    from hourcast.llm import license_scan as L
+    from hourcast.llm import secrets_scan as S
+
+    sf = "/root/testdata/sf0.001"
+    texts = duckdb.sql(f"select doc_id, text from '{sf}/documents.parquet'").fetchall()
+    encoding, rules = S.load_encoding(S.vocabulary_path()), L.build_rules()
+    secrets, licenses = {}, {}
+    for d, t in texts:
+        spans = [(S.KINDS[k], a, b) for a, k, b in S.scan_text(t or "", encoding)]
+        joined = lambda x: ",".join(f"{k}:{a}:{b}" for k, a, b in x)
+        n = [sum(k == kind for k, _, _ in spans) for kind in S.KINDS[:3]]
+        secrets[d] = (*n, S.digest(joined(x for x in spans if x[0] != "random")), joined(spans))
+        lower = re.sub(rb"[A-Z]", lambda m: m.group().lower(), (t or "").encode())
+        words = re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+        places = sorted((i, x) for p, x in L.BASE for i in range(len(words)) if words[i:i + len(p.split())] == p.split())
+        hits = [r for _, _, r in L.detect(b" ".join(words), rules)]
+        names = lambda x: ",".join(sorted(set(x)))
+        base = [x for _, x in places]
+        licenses[d] = (
+            len(words), len(places), min(places)[0] if places else None, max(places)[0] if places else None, names(base),
+            names(base + [r.label for r in hits]), max([0.0, *(r.confidence for r in hits), *([0.8] if places else [])]),
+        )
+    assert {r[0]: tuple(r[1:]) for r in S.op4_secret_scan(spark, sf).collect()} == secrets
+    assert {r[0]: tuple(r[1:]) for r in L.op10_license_scan(spark, sf).collect()} == licenses
+    assert any(x[5] for x in licenses.values()) and any(x[4] for x in secrets.values())
