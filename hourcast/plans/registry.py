@@ -72,4 +72,6 @@ def r6(c: Column, name: str) -> Column:
 
 
 # Import the query modules so their decorators run.
-from hourcast.plans import queries_core, queries_features, queries_models, queries_reports, queries_supplied  # noqa: E402,F401
+from hourcast.plans import (  # noqa: E402,F401
+    queries_core, queries_features, queries_models, queries_reports, queries_supplied, queries_sweeps,
+)
