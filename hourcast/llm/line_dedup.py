@@ -235,7 +235,7 @@ def frequent_lines(lines: DataFrame, index: DataFrame, shards: int, least_docs:
             order = np.argsort(shard, kind="stable")
             h, shard = h[order], shard[order]
             names, at = np.unique(shard, return_index=True)
-            ends = np.append(at[1:], len(h))
+            ends = np.append(at, len(h))[1:]
             out = [h[i:j].tobytes() for i, j in zip(at, ends, strict=True)]
             return pa.RecordBatch.from_arrays(
                 [pa.array(names), pa.array([chunk] * len(out), pa.int64()), pa.array(out, pa.binary())], ["shard", "chunk", "hashes"]
