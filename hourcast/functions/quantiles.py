@@ -2,14 +2,15 @@
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, which does not survive a group holding a third of 100 TB.
-Here an exact quantile takes three aggregations:
+Here exact quantiles take two passes over the rows:
 
-1. ``percentile_approx`` (a mergeable sketch) brackets the wanted rank.
-2. The bracket is widened by the nearest value on each side.
-3. Values inside the bracket are counted per distinct value (partial aggregation
-   collapses ties) and below it in total; cumulative counts over the distinct
-   values give the order statistics.  Nothing is collected into a list: a column
-   that is mostly one value has one row in its bracket.
+1. ``percentile_approx`` (a mergeable sketch) brackets each wanted rank by two data
+   values.  Their ranks are off by at most n / accuracy, which the bracket's width covers;
+   a group of at most ``accuracy`` rows is bracketed by its least and largest value.
+2. Values inside a bracket are counted per distinct value, those below it as one more
+   "value" (partial aggregation collapses ties); cumulative counts give the order
+   statistics.  Nothing is collected into a list: a column that is mostly one
+   value has one row in its bracket.
 
 A bracket that misses the rank (which the sketch guarantee rules out) raises
 instead of returning a wrong value.  Result equals DuckDB ``quantile_cont`` and
@@ -49,22 +50,21 @@ def exact_quantiles(
     base = whole.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     eps, k = 4.0 / accuracy, range(len(probs))
     edges = [e for p in probs for e in (max(0.0, p - eps), min(1.0, p + eps))]
-    v = F.col("_v")
-    sketch = _small(base.groupBy(*keys).agg(F.count("_v").alias("n"), F.percentile_approx("_v", edges, accuracy).alias("_br")))
-    lo, hi = (lambda j: F.col("_br")[2 * j]), (lambda j: F.col("_br")[2 * j + 1])
-    wide = base.join(sketch, keys).groupBy(*keys).agg(
-        F.first("n").alias("n"),
-        F.array(*[F.coalesce(F.max(F.when(v < lo(j), v)), F.first(lo(j))) for j in k]).alias("_lo"),
-        F.array(*[F.coalesce(F.min(F.when(v > hi(j), v)), F.first(hi(j))) for j in k]).alias("_hi"),
-    )
-    ranked = base.join(_small(wide), keys)
-    below = _small(ranked.groupBy(*keys).agg(F.first("n").alias("n"), F.array(*[F.count_if(v < F.col("_lo")[j]) for j in k]).alias("_below")))
-    inside = F.filter(F.array(*[F.lit(j) for j in k]), lambda j: (v >= F.get("_lo", j)) & (v <= F.get("_hi", j)))
-    counts = ranked.select(*keys, "_v", F.explode(inside).alias("_j")).groupBy(*keys, "_j", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    up = Window.partitionBy(*keys, "_j").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counts.withColumn("_to", F.sum("_c").over(up)).join(below, keys)
+    v, few = F.col("_v"), F.col("n") <= accuracy
+    sketch = base.groupBy(*keys).agg(
+        F.count("_v").alias("n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.percentile_approx("_v", edges, accuracy).alias("_br"))
+    brackets = _small(sketch.select(
+        *keys, "n", F.array(*[F.when(few, F.col("_min")).otherwise(F.col("_br")[2 * j]) for j in k]).alias("_lo"),
+        F.array(*[F.when(few, F.col("_max")).otherwise(F.col("_br")[2 * j + 1]) for j in k]).alias("_hi")))
+    lo, hi = (lambda j: F.get("_lo", j)), (lambda j: F.get("_hi", j))
+    ranked = base.join(brackets, keys)
+    held = F.filter(F.array(*[F.lit(j) for j in k]), lambda j: v <= hi(j))
+    inside = F.when(v >= lo(F.col("_j")), v)  # NULL: below the bracket
+    counts = ranked.select(*keys, "n", "_lo", "_v", F.explode(held).alias("_j")).groupBy(*keys, "n", "_j", inside.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    up = Window.partitionBy(*keys, "_j").orderBy(F.asc_nulls_first("_v")).rowsBetween(Window.unboundedPreceding, 0)
+    placed = counts.withColumn("_to", F.sum("_c").over(up))
     h = (F.col("n") - 1).cast("double") * F.get(F.array(*[F.lit(float(p)) for p in probs]), F.col("_j"))
-    first, past = F.get("_below", F.col("_j")) + F.col("_to") - F.col("_c"), F.get("_below", F.col("_j")) + F.col("_to")
+    first, past = F.col("_to") - F.col("_c"), F.col("_to")
     at = lambda i: F.max(F.when((first <= i) & (i < past), v))
     i = F.floor(h).cast("long")
     picked = placed.groupBy(*keys, "_j", "n").agg(at(i).alias("_x1"), at(F.least(i + 1, F.col("n") - 1)).alias("_x2"), F.first(h - i).alias("_f"))

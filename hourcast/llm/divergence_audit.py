@@ -43,7 +43,7 @@ LEAST_DOCS = 3
 SCALE = 1_000_000_000
 MOST = 200
 #: Counters a task holds before it passes them on.
-HELD = 300_000
+HELD = 400_000
 SALTS = 16
 
 #: Letters a-z and bytes of multibyte characters stay, A-Z become small, all else separates.
@@ -59,12 +59,10 @@ def term_counts(docs: DataFrame) -> DataFrame:
         held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
 
         def rows() -> Iterator[pa.RecordBatch]:
-            for (lang, source), (n, d) in held.items():
-                terms = list(n)
+            for (lang, source), (n, d) in held.items():  # both counters hold their terms in the same order
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(terms), pa.string()), pa.array([source] * len(terms), pa.string()),
-                     pa.array(terms, pa.binary()).cast(pa.string()), pa.array(list(n.values()), pa.int64()),
-                     pa.array([d[t] for t in terms], pa.int64())],
+                    [pa.repeat(pa.scalar(lang, pa.string()), len(n)), pa.repeat(pa.scalar(source, pa.string()), len(n)),
+                     pa.array(list(n), pa.binary()).cast(pa.string()), pa.array(list(n.values()), pa.int64()), pa.array(list(d.values()), pa.int64())],
                     ["lang", "source", "term", "n", "docs"],
                 )
             held.clear()
@@ -77,7 +75,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
                 n, d = held.setdefault(key, (Counter(), Counter()))
                 size -= len(n)
                 n.update(terms)
-                d.update(set(terms))
+                d.update(dict.fromkeys(terms).keys())
                 size += len(n)
                 if size >= HELD:
                     yield from rows()

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from hourcast.functions import arrays as A
 from hourcast.functions.quantiles import column_medians, most_frequent
 from hourcast.functions.scalar import hour_index
+from hourcast.session import cut_lineage
 from hourcast.spec import PanelSpec
 
 UNKNOWN = "UNKNOWN"
@@ -122,7 +123,7 @@ def stationwise_time_impute(df: DataFrame, spec: PanelSpec = PanelSpec()) -> Dat
     columns; categoricals ffill -> bfill -> mode -> 'UNKNOWN'."""
     spec = spec.present(df)
     cols = [*spec.numeric, *spec.categorical]
-    filled = _fill(_fill(df, spec, cols, True), spec, cols, False)
+    filled = cut_lineage(_fill(_fill(df, spec, cols, True), spec, cols, False))  # read by each statistic
     stats = impute_stats_fit(filled, spec)
     return filled.select(*stats.fill_exprs(filled))
 

@@ -10,9 +10,21 @@ from hourcast.functions.scalar import clip_nonneg
 
 def station_codes(df: DataFrame, series: str = "station") -> DataFrame:
     """Index of each series in sorted distinct order, as a double.
-    Ranked on the distinct-series table only."""
-    d = df.select(series).distinct()
-    return d.select(series, (F.dense_rank().over(Window.orderBy(series)) - 1).cast("double").alias("station_code"))
+
+    The distinct series are sorted in ranges; each range counts from the number of series before it, so
+    no task ranks them all.  Only one count per range reaches the driver."""
+    from hourcast.session import cut_lineage
+
+    ranges = df.select(series).where(F.col(series).isNotNull()).distinct().repartitionByRange(series)
+    d = cut_lineage(ranges.select(series, F.spark_partition_id().alias("_range")))
+    before, at = 0, []
+    for r in d.groupBy("_range").count().orderBy("_range").collect():
+        at += [F.lit(r["_range"]), F.lit(before)]
+        before += r["count"]
+    if not at:
+        return d.select(series, F.lit(0.0).alias("station_code"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(series)) - 1
+    return d.select(series, (F.element_at(F.create_map(*at), F.col("_range")) + place).cast("double").alias("station_code"))
 
 
 # --------------------------------------------------------------------------- feature matrices

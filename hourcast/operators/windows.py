@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourcast.functions.scalar import hour_index
+from hourcast.functions.scalar import cyclic, hour_index, radians
 from hourcast.spec import PanelSpec
 
 
@@ -31,6 +31,8 @@ def bucketed(df: DataFrame, spec: PanelSpec, back_hours: int, fwd_hours: int) ->
     bucket).  With ``chunk_hours=None`` the partition is the series alone.
     """
     s, t = spec.series, spec.time
+    if "_cell" in df.columns:  # a stored panel: its rows lie in their buckets, copies and all
+        return df, ["_cell", s, "_part"]
     if not spec.chunk_hours:
         return df.withColumn("_home", F.lit(True)), [s]
     size = spec.chunk_hours
@@ -163,17 +165,47 @@ def fold_lags(flat: DataFrame, spec: PanelSpec = PanelSpec(), size: int | None =
     return flat.select(*keep, F.array(*elems).alias("w"))
 
 
-def sequence_tensor(windows: DataFrame, means: dict, stds: dict, spec: PanelSpec = PanelSpec(),
-                    extra=None) -> DataFrame:
-    """Standardised window sequences ``ARRAY<ARRAY<FLOAT>>`` (time x
-    feature); mean/std are population statistics of training rows."""
-    measures = [m for m in spec.numeric if m in means]
+#: The channels of a sequence after the measures, in order.
+SEQUENCE_EXTRA = ("sin_hour", "cos_hour", "sin_month", "cos_month", "station_code", "wd_sin", "wd_cos")
 
-    def row(x):
-        vals = [((x[m] - F.lit(means[m])) / F.lit(stds[m] if stds[m] else 1.0)).cast("float") for m in measures]
-        return F.array(*vals)
 
-    return windows.withColumn("seq", F.transform("w", row))
+def sequence_rows(df: DataFrame, codes: DataFrame, spec: PanelSpec = PanelSpec()) -> DataFrame:
+    """The rows of a panel with the calendar, series and wind channels of W14.  ``codes(series, station_code)`` is P21's table."""
+    spec = spec.present(df)
+    t = F.col(spec.time)
+    sh, ch = cyclic(F.hour(t), 24.0)
+    sm, cm = cyclic(F.month(t), 12.0)
+    wind = radians(F.col("wd")) if spec.wind else None
+    return df.join(codes, spec.series).select(
+        *[F.col(c) for c in df.columns], sh.alias("sin_hour"), ch.alias("cos_hour"), sm.alias("sin_month"), cm.alias("cos_month"), "station_code",
+        (F.lit(0.0) if wind is None else F.sin(wind)).alias("wd_sin"), (F.lit(0.0) if wind is None else F.cos(wind)).alias("wd_cos"),
+    )
+
+
+def sequence_tensor(rows: DataFrame, stats: dict[str, tuple[float, float]], spec: PanelSpec = PanelSpec(), size: int | None = None) -> DataFrame:
+    """Valid windows of :func:`sequence_rows` as ``seq ARRAY<ARRAY<FLOAT>>`` (time x channel), each channel
+    standardised by ``stats`` (mean, population std of training rows; std 0 counts as 1), and ``channels``."""
+    spec = spec.present(rows)
+    channels = [c for c in (*spec.numeric, *SEQUENCE_EXTRA) if c in stats]
+    value = lambda c: ((F.col(c) - F.lit(stats[c][0])) / F.lit(stats[c][1] or 1.0)).cast("float")
+    step = F.array(*[value(c) for c in channels]).alias("_step")
+    raw = spec.raw_target if spec.raw_target in rows.columns else spec.target
+    helpers = [c for c in ("_part", "_home", "_cell") if c in rows.columns]
+    slim = rows.select(spec.series, spec.time, *helpers, F.col(raw).alias("_raw"), step)
+    out = build_windows(slim, spec, size, raw_target="_raw", fields=["_step"])
+    return out.select(*[c for c in out.columns if c != "w"], F.transform("w", lambda x: x["_step"]).alias("seq"),
+                      F.array(*[F.lit(c) for c in channels]).alias("channels"))
+
+
+def write_tensor(tensor: DataFrame, path: str, files: int | None = None) -> None:
+    """W14 as a training sink: ``x`` (time x channel floats in one flat array of fixed length), ``y``, and the keys
+    of each window, range-partitioned and sorted by target time; the shape lies beside it as one line of JSON."""
+    from hourcast.sources.files import write_sorted
+
+    shape = tensor.select(F.to_json(F.struct(F.size("seq").alias("steps"), F.size("channels").alias("width"), "channels")).alias("value")).limit(1)
+    flat = tensor.select("station", "window_end", "target_time", F.col("y_true").cast("float").alias("y"), F.flatten("seq").alias("x"))
+    write_sorted(flat, path, ["target_time", "station"], files=files)
+    shape.coalesce(1).write.mode("overwrite").text(f"{path}-shape")
 
 
 def standardise_target(df: DataFrame, mean: float, std: float, col: str = "y_true") -> DataFrame:

@@ -1,8 +1,8 @@
 """The shared causal pipeline: panel -> cutoff -> train stats -> impute -> windows.
 
-The panel is materialised once per session (reliable checkpoint in the
-cluster's ``spark.checkpoint.dir``), since cutoff, statistics and every query
-read it again.  Scalars (cutoff, medians, modes) travel as literals.
+The panel, the imputed panel and the windows are materialised once per session (reliable
+checkpoint in the cluster's ``spark.checkpoint.dir``), since cutoff, statistics and
+every query read them again.  Scalars (cutoff, medians, modes) travel as literals.
 """
 
 from __future__ import annotations
@@ -61,7 +61,7 @@ def prepare(spark: SparkSession, sf_dir: str, fraction: float = 0.8, spec: Panel
         panel = panel_of(spark, sf_dir)
         cutoff = chronological_cutoff(panel, spec.time, fraction)
         stats = impute_stats_fit(panel.where(F.col(spec.time) <= ts_lit(cutoff)), spec)
-        imputed = causal_impute(panel, stats, spec, keep_raw=True)
-        return Prepared(spec, panel, cutoff, stats, imputed, build_windows(imputed, spec))
+        imputed = cut_lineage(causal_impute(panel, stats, spec, keep_raw=True))
+        return Prepared(spec, panel, cutoff, stats, imputed, cut_lineage(build_windows(imputed, spec)))
 
     return once(spark, ("prep", sf_dir, fraction, spec), make)

@@ -10,6 +10,7 @@ from hourcast.operators.features import Win
 from hourcast.plans import oracle as O
 from hourcast.plans.pipeline import prepare, panel_of
 from hourcast.plans.registry import normalise, query
+from hourcast.session import cut_lineage
 from hourcast.spec import MEASURES
 
 ALL = ", ".join(f"round({m}, 6) AS {m}" for m in MEASURES)
@@ -336,7 +337,7 @@ def q_w8(spark, sf_dir):
     from hourcast.operators.splits import holdout_tail
     from hourcast.operators.windows import one_hour_ahead
 
-    al = one_hour_ahead(stationwise_time_impute(panel_of(spark, sf_dir).select("station", "datetime", "pm25")))
+    al = cut_lineage(one_hour_ahead(stationwise_time_impute(panel_of(spark, sf_dir).select("station", "datetime", "pm25"))))
     hold = holdout_tail(al, "datetime", "station", 0.2)
     e = F.col("pm25") - F.col("target_next")
     return normalise(hold.agg(

@@ -59,7 +59,8 @@ def read_station_files(spark: SparkSession, pattern: str, expected_files: int |
 
 
 def period_slice(df: DataFrame, start: str | None, end: str, time: str = "datetime") -> DataFrame:
-    """Rows with time <= end, or in [start, end] (literal bounds -> pushdown)."""
+    """Rows with time <= end, or in [start, end] (literal bounds -> pushdown; see ``PanelTable.between`` for
+    a panel stored by month)."""
     t = F.col(time)
     hi = F.expr(f"TIMESTAMP_NTZ '{end}'")
     cond = t <= hi if start is None else t.between(F.expr(f"TIMESTAMP_NTZ '{start}'"), hi)
@@ -92,7 +93,39 @@ def read_prediction_table(spark: SparkSession, path: str, prefix: str,
 
 
 def prefix_models(df: DataFrame, prefix: str, keys: Sequence[str] = ("station", "window_end", "target_time", "y_true")) -> DataFrame:
-    return df.select(*keys, *[F.col(c).cast("double").alias(f"{prefix}_{c}") for c in df.columns if c not in keys])
+    """Keys, text times parsed, and every numeric column as ``<prefix>_<column>`` in doubles; other columns go."""
+    parse = lambda k: F.to_timestamp_ntz(k).alias(k) if k in ("window_end", "target_time") and dict(df.dtypes)[k] == "string" else F.col(k)
+    models = [f.name for f in df.schema.fields if f.name not in keys and isinstance(f.dataType, T.NumericType)]
+    return df.select(*[parse(k) for k in keys], *[F.col(f"`{c}`").cast("double").alias(f"{prefix}_{c}") for c in models])
+
+
+def write_sorted(df: DataFrame, path: str, by: Sequence[str], files: int | None = None, fmt: str = "parquet", drop: Sequence[str] = (),
+                 mode: str = "overwrite") -> None:
+    """Write ``df`` in the global order of ``by``: a range of keys per file, each file sorted, file names in order.
+    Readers that take the files by name see one sorted table; ``drop`` names columns that only order it."""
+    keys = [F.asc_nulls_first(c) for c in by]
+    ranged = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
+    w = ranged.sortWithinPartitions(*keys).drop(*drop).write.mode(mode)
+    (w.option("header", True) if fmt == "csv" else w).format(fmt).save(path)
+
+
+def read_in_order(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
+    """The table at ``path`` with ``_file``, ``_block`` and ``_line``, which order its rows as its files hold them
+    (files by name, however they are split over tasks)."""
+    reader = spark.read.options(**options)
+    df = (reader.option("header", True).option("inferSchema", True) if fmt == "csv" else reader).format(fmt).load(path)
+    return df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                     F.monotonically_increasing_id().alias("_line"))
+
+
+ORDER = ("_file", "_block", "_line")
+
+
+def write_submission(sample: DataFrame, preds: DataFrame, path: str, id_col: str = "id", value: str = "prediction",
+                     expected_rows: int | None = None, files: int | None = 1, fmt: str = "csv") -> None:
+    """The submission of ``sample`` (from :func:`read_in_order`) in the sample's own row order."""
+    out = submission(sample.select(id_col, *ORDER), preds, id_col, value, expected_rows)
+    write_sorted(out, path, ORDER, files, fmt, drop=ORDER)
 
 
 def write_report(df: DataFrame, path: str, partition_by: Sequence[str] = (), csv: bool = False) -> None:
