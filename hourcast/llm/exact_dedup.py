@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourcast.llm.common import LOWER, UPPER, ascii_lower, materialise, shared_path, table
+from hourcast.sources.files import matches
 
 BUCKETS = 64
 
@@ -31,21 +32,37 @@ def digest_of(text: Column) -> Column:
 
 
 class DigestIndex:
-    """Bucketed table of the digests seen so far, at ``path`` (shared folder)."""
+    """Bucketed table of the digests seen so far, at ``path`` (shared folder).
+
+    An index that stands at ``path`` is opened with all its rows, in whatever session; else an empty one
+    is made.  Each append writes one file a bucket, however many partitions a shuffle has."""
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = BUCKETS):
-        self.spark, self.buckets = spark, buckets
+        self.spark = spark
         self.path = path or shared_path(spark, "digest-index")
+        spec = f"{self.path}-spec"
+        if matches(spark, spec):
+            buckets = spark.read.schema("buckets int").json(spec).first()["buckets"]
+        else:
+            spark.range(1).select(F.lit(buckets).alias("buckets")).coalesce(1).write.json(spec)
+        self.buckets = buckets
         self.name = f"digest_index_{uuid.uuid4().hex}"
-        self._append(spark.createDataFrame([], "digest binary, keep_id long"))
+        spark.sql(
+            f"CREATE TABLE {self.name} (digest BINARY, keep_id BIGINT) USING parquet "
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{self.path}'"
+        )
 
     def _append(self, rows: DataFrame) -> None:
+        bucket = F.pmod(F.hash("digest"), F.lit(self.buckets))  # as the writer deals rows over buckets
         (
-            rows.repartition(self.buckets, "digest")
-            .write.bucketBy(self.buckets, "digest").sortBy("digest")
-            .mode("append").option("path", self.path).saveAsTable(self.name)
+            rows.select("digest", "keep_id").repartition(self.buckets, bucket)
+            .write.bucketBy(self.buckets, "digest").sortBy("digest").mode("append").format("parquet").saveAsTable(self.name)
         )
 
+    def forget(self) -> None:
+        """Take the index out of the catalog; its files stay and can be opened by path."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
 
@@ -76,6 +93,7 @@ def exact_dedup(docs: DataFrame, batches: int = 2) -> DataFrame:
         index.add(rows.where(F.col("doc_id").isNull()))
     sizes = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
     groups = materialise(sizes.join(index.rows(), "digest"), "groups")
+    index.forget()
     return rows.join(groups, "digest").select(
         "doc_id", "keep_id", "group_size",
         F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"),

@@ -8,8 +8,8 @@ part may not fall below zero; where a step finds it negative, that part is ascen
 
 Features are the presence of the words that differ most between P and U.  The words'
 document counts are summed on the executors; the driver fits on bounded samples
-(``MOST_POSITIVE`` and ``MOST_UNLABELLED`` rows of smallest hash) of at most
-``MOST_WORDS`` features each.  Every document is scored, whole.
+(``MOST_POSITIVE`` and ``MOST_UNLABELLED`` rows of smallest hash of id and text, chosen without moving
+any text and written once) of at most ``MOST_WORDS`` features each.  Every document is scored, whole.
 
 Defined cases: null and empty texts have no words and get the score of the
 intercept; several labels of one doc_id count as toxic if any does; without a
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourcast.llm.common import table
+from hourcast.llm.common import materialise, table
 from hourcast.llm.language_id import _CLEAN, held_out
 
 MOST_POSITIVE = 8_000
@@ -65,11 +65,14 @@ def pu_rows(docs: DataFrame, labels: DataFrame, trainable: Column,
     """Training rows ``(positive, text)`` and the class prior among labelled rows."""
     by_id = labels.where(F.col("toxic").isNotNull() & trainable).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     prior = by_id.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
-    u = docs.where(trainable).select("doc_id", F.xxhash64("doc_id").alias("h"), F.col("text").cast("binary").alias("text"))
-    p = u.join(by_id.where("toxic = 1"), "doc_id", "left_semi")
-    p = p.where(smallest_hashes(p, most_positive)).select(F.lit(True).alias("positive"), "text")
-    u = u.where(smallest_hashes(u, most_unlabelled)).select(F.lit(False).alias("positive"), "text")
-    return p.union(u), float(prior or 0.0)
+    # which rows are taken is decided on ids and hashes; the text is in the hash, so rows of one doc_id are told apart
+    own = docs.where(trainable).select("doc_id", F.xxhash64("doc_id", "text").alias("h"), F.col("text").cast("binary").alias("text"))
+    ids = materialise(own.select("doc_id", "h").distinct(), "pu-ids")
+    p = ids.join(by_id.where("toxic = 1").select("doc_id"), "doc_id", "left_semi")
+    toxic = F.broadcast(p.where(smallest_hashes(p, most_positive)))  # about most_positive rows at the most
+    p = own.join(toxic, ["doc_id", "h"], "left_semi").select(F.lit(True).alias("positive"), "h", "text")
+    u = own.where(smallest_hashes(ids, most_unlabelled)).select(F.lit(False).alias("positive"), "h", "text")
+    return materialise(p.union(u).dropDuplicates(["positive", "h"]).drop("h"), "pu-rows"), float(prior or 0.0)
 
 
 def pick_words(rows: DataFrame, most: int = MOST_WORDS) -> list[bytes]:
