@@ -65,10 +65,10 @@ def _scores(m: dict, i: int, o: float, s: float) -> tuple[float, float, float]:
     return rmse, sev_rmse, sev_bias
 
 
-def select_additive_correction(df: DataFrame, objective: str, base: str = "prediction") -> tuple[dict, float]:
+def select_additive_correction(df: DataFrame, objective: str, base: str = "prediction", moments: dict | None = None) -> tuple[dict | None, float]:
     """K1: best (threshold, offset, slope) by the objective; NaN scores skipped,
-    ties -> first in (threshold, offset, slope) loop order."""
-    m = correction_moments(df, base)
+    ties -> first in (threshold, offset, slope) loop order.  ``moments`` of the same rows serve all objectives."""
+    m = moments or correction_moments(df, base)
     best, best_score = None, math.inf
     for i, t in enumerate(THRESHOLDS):
         for o in OFFSETS:
@@ -104,6 +104,36 @@ def correction_features(base) -> list:
     return out
 
 
+def calibrated(wide: DataFrame, models, base: str, early, keys, alpha: float = 25.0) -> DataFrame:
+    """K7: every row's forecast of ``base`` as it is and corrected, fitted on the rows that meet ``early``:
+    ``reference_<base>``, one additive correction per objective that has a finite score (K1, K2), a Ridge on the
+    residual and one on the target (K5, K6: K4 features and all model columns, weights 1 + 0.5[y >= 75] + 4[y >= 150]).
+
+    Long rows ``(keys..., model, prediction)`` over all of ``wide``."""
+    from hourcast.functions.scalar import severe_weights
+    from hourcast.operators.models import Assembled, ridge
+    from hourcast.session import cut_lineage
+
+    feats = cut_lineage(wide.select(*keys, *correction_features(base), *[F.col(m).alias(f"model_{m}") for m in models], F.col(base).alias("_base")))
+    fit = feats.where(early)
+    moments = correction_moments(fit, "base_pred")
+    forms = {f"reference_{base}": F.col("base_pred")}
+    for objective in OBJECTIVES:
+        best, _ = select_additive_correction(fit, objective, "base_pred", moments)
+        if best:
+            forms[f"additive_threshold_{objective}"] = apply_additive_correction("base_pred", best["threshold"], best["offset"], best["slope"])
+    plain = feats.select(*keys, F.explode(F.array(*[F.struct(F.lit(n).alias("model"), p.alias("prediction")) for n, p in forms.items()])).alias("x"))
+    numeric = [c for c in feats.columns if c not in (*keys, "_base")]
+    a = Assembled(fit, {"all": feats}, numeric, [], keys, extra=["_base"])
+    weighted = a.train.withColumn("_w", severe_weights("y_true", 0.5, 4.0))
+    residual = weighted.withColumn("y_true", F.col("y_true") - F.col("_base"))
+    out = plain.select(*keys, "x.model", "x.prediction")
+    for name, rows, back in (("residual_ridge", residual, lambda p: F.col("_base") + p), ("target_ridge", weighted, lambda p: p)):
+        model = ridge(rows, alpha=alpha, weight_col="_w").fit(rows)
+        out = out.unionByName(a.predict(model, "all", f"{name}_severe_weighted", back))
+    return out
+
+
 # --------------------------------------------------------------------------- P17 Box-Cox
 
 def boxcox_expr(x, lam: float):

@@ -81,6 +81,12 @@ def scaler_stats(train: DataFrame, numeric: Sequence[str]) -> dict[str, tuple[fl
     return {c: (r[f"m_{c}"] or 0.0, r[f"s_{c}"] or 0.0) for c in numeric}
 
 
+def varying(stats: dict) -> dict:
+    """The columns that vary on the training rows; a constant one tells a model nothing and makes the normal
+    equations of Ridge singular, which sends Spark to an iterative solver."""
+    return {c: (m, s) for c, (m, s) in stats.items() if s > 0}
+
+
 def scaled(df: DataFrame, stats: dict, keep: Sequence[str]) -> DataFrame:
     """(x - mean) / std (std 0 -> 1); missing -> 0 (= the training mean)."""
     cols = [F.coalesce((F.col(c) - F.lit(m)) / F.lit(s if s else 1.0), F.lit(0.0)).alias(c) for c, (m, s) in stats.items()]
@@ -119,6 +125,58 @@ def ridge(train: DataFrame, alpha: float = 10.0, weight_col: str | None = None,
     return lr
 
 
+class Assembled:
+    """Training rows and the rows to predict as feature vectors (R3), written once for any number of fits.
+
+    The scaler and the encoder are fitted on ``train``; ``others`` names the frames to predict.  ``extra`` columns
+    come along unscaled."""
+
+    def __init__(self, train: DataFrame, others: dict[str, DataFrame], numeric: Sequence[str], categorical: Sequence[str],
+                 keys: Sequence[str] = ("station", "window_end", "target_time", "y_true"), extra: Sequence[str] = ()):
+        from hourcast.session import cut_lineage
+
+        stats = varying(scaler_stats(train, numeric))
+        self.numeric, self.categorical, self.keys = list(stats), list(categorical), list(keys)
+        keep = list(dict.fromkeys([*keys, *categorical]))
+        self.encoder = encoder(categorical, self.numeric).fit(scaled(train, stats, keep))
+
+        def assembled(df: DataFrame) -> DataFrame:
+            more = [c for c in extra if c in df.columns]
+            rows = self.encoder.transform(scaled(df, stats, list(dict.fromkeys([*keep, *more]))))
+            return cut_lineage(rows.select(*keys, *[c for c in extra if c in df.columns], "features"))
+
+        self.others = {name: assembled(df) for name, df in others.items()}
+        self.train = assembled(train)
+
+    def predict(self, model, which: str, name: str, inverse_fn=None, clip: bool = True) -> DataFrame:
+        """Long predictions of one of the frames."""
+        p = F.col("prediction")
+        p = inverse_fn(p) if inverse_fn else p
+        return model.transform(self.others[which]).select(*self.keys, F.lit(name).alias("model"), (clip_nonneg(p) if clip else p).alias("prediction"))
+
+    def ridges(self, which: str, forms: Sequence[str] = ("alpha10", "weighted_1_4", "weighted_2_8", "log1p", "boxcox")) -> DataFrame:
+        """The Ridge (alpha 10) on each target form or weighting."""
+        from hourcast.functions.scalar import severe_weights
+        from hourcast.operators import calibrate as K
+
+        preds = []
+        for form in forms:
+            rows, back, w = self.train, None, None
+            if form.startswith("weighted_"):
+                high, severe = map(float, form.split("_")[1:])
+                rows, w = rows.withColumn("_w", severe_weights("y_true", high, severe)), "_w"
+            elif form == "log1p":
+                rows, back = rows.withColumn("y_true", F.log1p("y_true")), F.expm1
+            elif form == "boxcox":
+                fit = K.boxcox_fit(rows)
+                rows, back = rows.withColumn("y_true", K.boxcox_transform("y_true", fit)), lambda p, fit=fit: K.boxcox_inverse(p, fit)
+            preds.append(self.predict(ridge(rows, weight_col=w).fit(rows), which, f"ridge_{form}", back))
+        out = preds[0]
+        for p in preds[1:]:
+            out = out.unionByName(p)
+        return out
+
+
 def random_forest(seed: int = 42, trees: int = 120, depth: int = 22) -> RandomForestRegressor:
     """Sqrt feature subsets, 0.75 row sample, min 3 rows per leaf."""
     return RandomForestRegressor(featuresCol="features", labelCol="y_true", numTrees=trees, maxDepth=depth,
@@ -154,30 +212,21 @@ def target_form(form: str, train: DataFrame):
     return forms[form]
 
 
-def boosted_forms(train: DataFrame, valid: DataFrame, numeric: Sequence[str], categorical: Sequence[str], stop_after,
-                  forms: Sequence[str] = ("raw", "log1p", "boxcox", "weighted"), time: str = "window_end",
-                  keys: Sequence[str] = ("station", "window_end", "target_time", "y_true"), prefix: str = "gradient_boosting", **params):
+def boosted_forms(rows: Assembled, which: str, stop_after, forms: Sequence[str] = ("raw", "log1p", "boxcox", "weighted"),
+                  time: str = "window_end", prefix: str = "gradient_boosting", **params):
     """Boosted trees on each target form, early stopping on the training rows after the time ``stop_after``.
-
-    Scaling and encoding are fitted once and shared.  Returns ``(predictions, trees used by model)``."""
+    Returns ``(predictions, trees used by model)``."""
     from hourcast.operators.splits import ts_lit
-    from hourcast.session import cut_lineage
 
-    stats = scaler_stats(train, numeric)
-    keep = list(dict.fromkeys([*keys, *categorical]))
-    fitted = encoder(categorical, list(numeric)).fit(scaled(train, stats, keep))
-    assembled = lambda df: cut_lineage(fitted.transform(scaled(df, stats, keep)).select(*keys, "features"))
-    tr, va = assembled(train), assembled(valid)
     preds, trees = [], {}
     for form in forms:
-        forward, backward, weight = target_form(form, tr)
-        rows = tr.select("*", (F.col(time) > ts_lit(stop_after)).alias("_stop"), (F.lit(1.0) if weight is None else weight).alias("_weight"))
+        forward, backward, weight = target_form(form, rows.train)
+        tr = rows.train.select("*", (F.col(time) > ts_lit(stop_after)).alias("_stop"), (F.lit(1.0) if weight is None else weight).alias("_weight"))
         if forward:
-            rows = rows.withColumn("y_true", forward(F.col("y_true")))
-        model = gradient_boosting(stop_col="_stop", weight_col="_weight", **params).fit(rows)
+            tr = tr.withColumn("y_true", forward(F.col("y_true")))
+        model = gradient_boosting(stop_col="_stop", weight_col="_weight", **params).fit(tr)
         name = f"{prefix}_{form}"
-        p = F.col("prediction")
-        preds.append(model.transform(va).select(*keys, F.lit(name).alias("model"), clip_nonneg(backward(p) if backward else p).alias("prediction")))
+        preds.append(rows.predict(model, which, name, backward))
         trees[name] = model.getNumTrees
     out = preds[0]
     for p in preds[1:]:
@@ -190,7 +239,8 @@ def fit_predict(estimator, train: DataFrame, valid: DataFrame, numeric: Sequence
                 extra_train_cols: Sequence[str] = (), label_fn=None, inverse_fn=None, clip: bool = True):
     """Fit encoder + estimator on train (scaler statistics from train only),
     predict valid -> long predictions (clipped at 0).  Returns (preds, model, feature names)."""
-    stats = scaler_stats(train, numeric)
+    stats = varying(scaler_stats(train, numeric))
+    numeric = list(stats)
     keep = list(dict.fromkeys([*keys, *categorical, *extra_train_cols]))
     tr = scaled(train, stats, keep)
     va = scaled(valid, stats, list(dict.fromkeys([*keys, *categorical])))

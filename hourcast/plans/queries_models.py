@@ -37,6 +37,15 @@ def _frames(spark, sf_dir, fraction: float = 0.8):
     return p, tr, va, num, cat
 
 
+def assembled(spark, sf_dir) -> R.Assembled:
+    """The compact frame as vectors, once a session: scaler, encoder and both sides serve every fit."""
+    def make():
+        _, tr, va, num, cat = _frames(spark, sf_dir)
+        return R.Assembled(tr, {"valid": va}, num, cat)
+
+    return once(spark, ("assembled", sf_dir), make)
+
+
 def _persistence(va):
     return va.select(*KEYS, F.lit("persistence").alias("model"), F.col("pm25_latest").alias("prediction"))
 
@@ -45,12 +54,12 @@ def _persistence(va):
 def q_ml(spark, sf_dir):
     """R3 encoder + R4 Ridge(alpha=10) + R7 random forest + R8 boosted trees,
     fitted on train windows, R11 batch-predicted (clipped) on validation, A1."""
-    _, tr, va, num, cat = _frames(spark, sf_dir)
+    _, _, va, _, _ = _frames(spark, sf_dir)
+    a = assembled(spark, sf_dir)
     preds = [_persistence(va)]
-    for name, est in (("ridge_alpha10", R.ridge(tr)), ("random_forest", R.random_forest(**SMALL_FOREST)),
+    for name, est in (("ridge_alpha10", R.ridge(a.train)), ("random_forest", R.random_forest(**SMALL_FOREST)),
                       ("gradient_boosting", R.gradient_boosting(**SMALL_BOOST))):
-        pr, _, _ = R.fit_predict(est, tr, va, num, cat, name=name)
-        preds.append(pr)
+        preds.append(a.predict(est.fit(a.train), "valid", name))
     return normalise(MT.rmse_mae(reduce(lambda a, b: a.unionByName(b), preds)))
 
 
@@ -159,9 +168,8 @@ def q_w13(spark, sf_dir):
 @query("bagged_boosting")
 def q_r9(spark, sf_dir):
     """Boosted trees with seeds 42 + 13 i (i < 3), mean of clipped predictions."""
-    _, tr, va, num, cat = _frames(spark, sf_dir)
-    bag = [R.fit_predict(R.gradient_boosting(seed=42 + 13 * i, iters=10), tr, va, num, cat, name=f"gbt_{i}")[0]
-           for i in range(3)]
+    a = assembled(spark, sf_dir)
+    bag = [a.predict(R.gradient_boosting(seed=42 + 13 * i, iters=10).fit(a.train), "valid", f"gbt_{i}") for i in range(3)]
     long = reduce(lambda a, b: a.unionByName(b), bag)
     return normalise(MT.rmse_mae(E.mean_of(long, [f"gbt_{i}" for i in range(3)], "bagged_boosting_3", KEYS)))
 
@@ -184,32 +192,29 @@ def q_r6_boxcox(spark, sf_dir):
 
 @query("calibration_models")
 def q_k7(spark, sf_dir):
-    """K5 residual Ridge (alpha 25, weights 1 + 0.5[y>=75] + 4[y>=150]) and K6
-    target Ridge on K4 correction features of the persistence base plus the
-    other baseline columns; fitted on the early half of validation, scored
-    (with the reference row) on the late half: K7."""
+    """K7 on the persistence base and all baselines: reference, K1 x 3, residual and target Ridge (alpha 25), fitted
+    on the early half of validation, scored on the late half."""
+    return normalise(MT.severe_score(late_rows(calibration(spark, sf_dir), spark, sf_dir)))
+
+
+def calibration(spark, sf_dir):
+    """Full-length forecasts of the calibration experiment, once a session."""
     from hourcast.operators import calibrate as K
     from hourcast.plans.queries_reports import MODELS, preds_of
 
-    long = preds_of(spark, sf_dir)
-    wide = E.wide(long, MODELS, KEYS)
-    feats = wide.select(*KEYS, *K.correction_features("persistence"),
-                        *[F.col(m).alias(f"model_{m}") for m in MODELS])
-    split = late_split_time(feats, "target_time", 0.5)
-    early = feats.where(F.col("target_time") <= ts_lit(split))
-    late = feats.where(F.col("target_time") > ts_lit(split))
-    num = [c for c in feats.columns if c not in KEYS]
-    w = severe_weights("y_true", 0.5, 4.0)
-    # weights from the true target, label = residual (computed before any scaling)
-    e_res = early.withColumn("_w", w).withColumn("y_true", F.col("y_true") - F.col("base_pred"))
-    res_est = R.ridge(e_res, alpha=25.0, weight_col="_w")
-    pr_res, _, _ = R.fit_predict(res_est, e_res, late, num, [], name="residual_ridge", extra_train_cols=["_w"],
-                                 clip=False)
-    pr_res = pr_res.join(late.select(*KEYS, "base_pred"), KEYS).select(
-        *KEYS, "model", clip_nonneg(F.col("prediction") + F.col("base_pred")).alias("prediction"))
-    # (late rows keep their true y_true key; only the early training label was replaced)
-    e_t = early.withColumn("_w", w)
-    pr_t, _, _ = R.fit_predict(R.ridge(e_t, alpha=25.0, weight_col="_w"), e_t, late, num, [], name="target_ridge",
-                               extra_train_cols=["_w"])
-    ref = late.select(*KEYS, F.lit("reference_persistence").alias("model"), F.col("base_pred").alias("prediction"))
-    return normalise(MT.severe_score(pr_res.unionByName(pr_t).unionByName(ref)))
+    def make():
+        wide = E.wide(preds_of(spark, sf_dir), MODELS, KEYS)
+        early = F.col("target_time") <= ts_lit(late_time(spark, sf_dir))
+        return cut_lineage(K.calibrated(wide, MODELS, "persistence", early, KEYS))
+
+    return once(spark, ("calibration", sf_dir), make)
+
+
+def late_time(spark, sf_dir):
+    from hourcast.plans.queries_reports import preds_of
+
+    return once(spark, ("late", sf_dir), lambda: late_split_time(preds_of(spark, sf_dir), "target_time", 0.5))
+
+
+def late_rows(preds, spark, sf_dir):
+    return preds.where(F.col("target_time") > ts_lit(late_time(spark, sf_dir)))

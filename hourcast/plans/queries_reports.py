@@ -14,10 +14,11 @@ from hourcast.operators import metrics as MT
 from hourcast.operators.features import Win, with_arrays
 from hourcast.operators.joins import PRED_KEYS, merge_predictions, union_frames
 from hourcast.operators.splits import late_split_time, ts_lit
-from hourcast.plans.pipeline import panel_of, prepare
+from hourcast.plans.pipeline import once, panel_of, prepare
 from hourcast.plans.queries_core import ALL, _baseline_sql_preds, baseline_models
 from hourcast.plans import oracle as O
 from hourcast.plans.registry import normalise, query
+from hourcast.session import cut_lineage
 from hourcast.spec import MEASURES
 
 MODELS = ("persistence", "rolling_mean_3h", "rolling_mean_6h", "rolling_mean_12h", "rolling_mean_24h")
@@ -26,8 +27,9 @@ P = _baseline_sql_preds()
 
 
 def preds_of(spark, sf_dir):
-    p = prepare(spark, sf_dir)
-    return MT.predictions_long(with_arrays(p.valid_windows, ["pm25"]), baseline_models(Win()))
+    """Baseline forecasts of the validation windows, written once a session: every report reads them."""
+    return once(spark, ("preds", sf_dir), lambda: cut_lineage(
+        MT.predictions_long(with_arrays(prepare(spark, sf_dir).valid_windows, ["pm25"]), baseline_models(Win()))))
 
 
 def _wide_sql(src: str = "preds") -> str:
@@ -187,13 +189,14 @@ def q_p13(spark, sf_dir):
 # --------------------------------------------------------------------------- J joins / set ops
 
 @query("merge_predictions", P + "SELECT " + KEYS.replace("y_true", "round(y_true, 6) AS y_true")
-       + ", model, round(prediction, 6) AS prediction FROM preds")
+       + ", model, round(prediction, 6) AS prediction FROM preds WHERE station <> 'S03' AND hour(window_end) <> 7")
 def q_j2(spark, sf_dir):
     """Two prediction sources merged on the 4 keys (one-to-one enforced,
     duplicate model names rejected, only keys present in every source)."""
     pr = preds_of(spark, sf_dir)
-    a = pr.where(F.col("model") == "persistence")
-    b = pr.where(F.col("model") != "persistence")
+    # each side misses keys that the other has
+    a = pr.where((F.col("model") == "persistence") & (F.col("station") != "S03"))
+    b = pr.where((F.col("model") != "persistence") & (F.hour("window_end") != 7))
     return normalise(merge_predictions({"baseline": a, "rolling": b}))
 
 
@@ -319,9 +322,9 @@ def q_k1(spark, sf_dir):
     """K1: threshold x offset x slope search (1575 candidates, 3 objectives)
     from one pass of per-threshold moments."""
     pr = preds_of(spark, sf_dir).where(F.col("model") == "persistence")
-    rows = []
+    rows, moments = [], K.correction_moments(pr)
     for obj in K.OBJECTIVES:
-        best, score = K.select_additive_correction(pr, obj)
+        best, score = K.select_additive_correction(pr, obj, moments=moments)
         if best is None:  # no finite score (e.g. no severe rows): no selection, as in the oracle
             continue
         rows.append((obj, best["threshold"], best["offset"], best["slope"], score))
@@ -329,18 +332,18 @@ def q_k1(spark, sf_dir):
 
 
 @query("correction_apply", P + """SELECT station, window_end, model,
-  round(greatest(prediction + 0.0 * CAST(prediction >= 150 AS DOUBLE) + 0.025 * greatest(prediction - 150, 0.0), 0.0), 6) AS additive,
+  round(greatest(prediction + 4.0 * CAST(prediction >= 60 AS DOUBLE) + 0.025 * greatest(prediction - 60, 0.0), 0.0), 6) AS additive,
   round(greatest(prediction + 0.025 * greatest(prediction - 150, 0.0), 0.0), 6) AS fixed_slope,
   round(prediction, 6) AS base_pred, round(prediction * prediction, 6) AS base_pred_sq,
   """ + ", ".join(f"round(CAST(prediction >= {t} AS DOUBLE), 6) AS base_gt_{t}" for t in (75, 100, 125, 150)) + ", "
        + ", ".join(f"round(greatest(prediction - {t}, 0.0), 6) AS excess_{t}" for t in (75, 100, 125, 150)) + " FROM preds")
 def q_k2(spark, sf_dir):
-    """K2 additive correction (T=150, offset 0, slope 0.025), K3 fixed-slope
+    """K2 additive correction (T=60, offset 4, slope 0.025), K3 fixed-slope
     calibration and K4 correction features, per prediction row."""
     pr = preds_of(spark, sf_dir)
     return normalise(pr.select(
         "station", "window_end", "model",
-        K.apply_additive_correction("prediction", 150.0, 0.0, 0.025).alias("additive"),
+        K.apply_additive_correction("prediction", 60.0, 4.0, 0.025).alias("additive"),
         K.fixed_slope_calibration("prediction").alias("fixed_slope"),
         *K.correction_features("prediction"),
     ))

@@ -19,7 +19,7 @@ from hourcast.operators import models as R
 from hourcast.operators.splits import TimeRanks, chronological_cutoff, chronological_cutoffs, ts_lit
 from hourcast.plans import oracle as O
 from hourcast.plans.pipeline import once, prepare
-from hourcast.plans.queries_models import KEYS, _frames
+from hourcast.plans.queries_models import KEYS, _frames, assembled
 from hourcast.plans.registry import normalise, query
 from hourcast.session import cut_lineage
 
@@ -165,10 +165,9 @@ BOOST = {"iters": 30, "depth": 3, "step": 0.3}
 
 def boosted(spark, sf_dir):
     """The four boosted models, fitted once a session; the last fifth of the training times decides when to stop."""
-    p, tr, va, num, cat = _frames(spark, sf_dir)
-
     def make():
-        preds, trees = R.boosted_forms(tr, va, num, cat, chronological_cutoff(tr, "window_end", 0.8), **BOOST)
+        a = assembled(spark, sf_dir)
+        preds, trees = R.boosted_forms(a, "valid", chronological_cutoff(a.train, "window_end", 0.8), **BOOST)
         return cut_lineage(preds), trees
 
     return once(spark, ("boosted", sf_dir), make)

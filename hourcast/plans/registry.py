@@ -73,5 +73,5 @@ def r6(c: Column, name: str) -> Column:
 
 # Import the query modules so their decorators run.
 from hourcast.plans import (  # noqa: E402,F401
-    queries_core, queries_features, queries_models, queries_reports, queries_slices, queries_storage, queries_supplied, queries_sweeps,
+    queries_core, queries_experiments, queries_features, queries_models, queries_reports, queries_slices, queries_storage, queries_supplied, queries_sweeps,
 )

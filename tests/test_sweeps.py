@@ -123,7 +123,8 @@ def test_boosting_stops_early(spark):
 
     df = frame(spark, gaps=False).cache()
     tr, va = df.where("window_end < '2024-01-10'"), df.where("window_end >= '2024-01-10'")
-    preds, trees = R.boosted_forms(tr, va, ["pm25_a", "temp_b"], ["station", "wd_lag_1"], dt.datetime(2024, 1, 8), iters=40, depth=4, step=0.5)
+    rows = R.Assembled(tr, {"valid": va}, ["pm25_a", "temp_b"], ["station", "wd_lag_1"])
+    preds, trees = R.boosted_forms(rows, "valid", dt.datetime(2024, 1, 8), iters=40, depth=4, step=0.5)
     assert len(trees) == 4 and all(1 <= k < 40 for k in trees.values())
     by = {r.model: (r.n, r.p, r.y) for r in preds.groupBy("model").agg(
         F.count(F.lit(1)).alias("n"), F.avg("prediction").alias("p"), F.avg("y_true").alias("y")).collect()}
