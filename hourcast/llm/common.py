@@ -30,7 +30,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     executors, and gives later joins plain exchanges that AQE may split."""
     path = shared_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of :func:`materialise` that written tables have replaced: nothing reads them again."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._written_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ascii_lower(text: Column) -> Column:
@@ -63,15 +73,16 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
             )
         state = tuple(now)
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = materialise(
+        least = materialise(
             both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low"
         )
         large = materialise(
-            both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large"
+            both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large"
         )
         low = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = materialise(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "small")
+        old, e = e, materialise(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "small")
+        discard(old, least, large, low)
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 

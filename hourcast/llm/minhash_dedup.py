@@ -11,13 +11,14 @@ far fewer above; sets smaller than k are their own sketches, which is exact.
    values only its rarest ``k - LEAST_SHARED + 1`` are listed.  Any pair that shares
    ``LEAST_SHARED`` values meets in one of those, so frequent shingles and passages
    that many documents share seldom make lists.
-3. Star round: every list's members are paired with its smallest few ids; pairs
-   pass the union-sketch estimate, then exact Jaccard on the full sets.  Components
-   of the links found settle most lists: all members in one component.
-4. What is left are pairs of *different* components in one list.  Short lists give
-   them directly; long ones are dealt in blocks over (list, block, block) groups,
-   where 16-bit prints of wider sketches (``WIDE`` values) are compared in memory and
-   only similar pairs come out.  Prints that clash only add to an overlap, so a set of
+3. Star rounds: of every list that still holds two components one member, the least by a
+   hash of the round, is paired with the members of other components; pairs pass the
+   union-sketch estimate, then exact Jaccard on the full sets, and the links found join
+   components.  A round makes at most one pair per list entry, whatever the lists' lengths.
+4. Lists that hold several components after the last round are dealt in blocks over
+   (list, block, block) groups, where 16-bit prints of wider sketches (``WIDE`` values) of members
+   of different components are compared in memory and only similar pairs come out, each from
+   the first list that both are in.  Prints that clash only add to an overlap, so a set of
    up to ``WIDE`` shingles is never ruled out wrongly, a larger one in 10^8 pairs once.
    They take the same estimate and exact check.
 
@@ -33,23 +34,21 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourcast.llm.common import LOWER_BYTES, components, materialise, mix64, table
+from hourcast.llm.common import LOWER_BYTES, components, discard, materialise, mix64, table
 
 K = 48
 LEAST_SHARED = 21
-#: Lists up to this long give their open pairs directly.
-SHORT_LIST = 32
-#: Values of a wider sketch, kept as 16-bit prints; compared where a long list stays open.
+#: Values of a wider sketch, kept as 16-bit prints; compared where a list stays open.
 WIDE = 256
-#: Members of a block of a long list: two blocks of prints are 2 MB.
+#: Members of a block of a list: two blocks of prints are 2 MB.
 BLOCK = 2048
-PIVOTS = 12
+#: Star rounds at most; what they leave open is compared in blocks.
+ROUNDS = 3
 
 
 def shingle_hashes(text: bytes | None, width: int = 2) -> np.ndarray:
@@ -167,64 +166,111 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     p = p.join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("h_b")), "b")
     both = F.size(F.array_intersect("h_a", "h_b"))
     union = F.size("h_a") + F.size("h_b") - both
-    return p.where(both * 100 >= union * percent).select("a", "b").distinct()
-
-
-def open_pairs(lists: DataFrame, stats: DataFrame, reps: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that meet in a list: of short lists directly,
-    of long ones from blocks compared in memory."""
+    links = materialise(p.where(both * 100 >= union * percent).select("a", "b").distinct(), "links")
+    discard(pairs, sets)
+    return links
+
+
+def joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """``comps(id, component_id)`` with the components that ``links(a, b)`` connect made one; an id that is not there is its own."""
+    of = lambda x: comps.select(F.col("id").alias(x), F.col("component_id").alias(f"c_{x}"))
+    edges = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
+    moved = materialise(components(edges), "moved")
+    root = moved.select(F.col("id").alias("component_id"), F.col("component_id").alias("root"))
+    old = comps.join(root, "component_id", "left").select("id", F.coalesce("root", "component_id").alias("component_id"))
+    new = moved.join(comps, "id", "left_anti").select("id", "component_id")
+    out = materialise(old.union(new), "components")
+    discard(comps, moved)
+    return out
+
+
+def mixed_lists(lists: DataFrame, comps: DataFrame) -> DataFrame:
+    """Entries ``(v, id, n, comp)`` of the lists that hold two components or more."""
     labelled = materialise(
-        lists.join(stats.select("v", "df"), "v").join(comps, "id", "left")
-        .withColumn("comp", F.coalesce("component_id", "id")).select("v", "df", "id", "n", "comp"),
-        "labelled",
-    )
-    mixed = materialise(
-        labelled.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("v", "lo"), "mixed"
+        lists.join(comps, "id", "left").select("v", "id", "n", F.coalesce("component_id", "id").alias("comp")), "labelled"
     )
-    left = materialise(labelled.join(mixed, "v"), "open")
-    short = left.where(F.col("df") <= SHORT_LIST).groupBy("v").agg(F.collect_list(F.struct("id", "n", "comp")).alias("m"))
-    short = short.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y")).where(
-        (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp")) & similar_size("x.n", "y.n", percent)
-    ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    # of a long list, only members outside its main component must meet all the others:
+    mixed = labelled.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("v")
+    out = materialise(labelled.join(mixed, "v"), "mixed")
+    discard(labelled)
+    return out
+
+
+def star_pairs(mixed: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs of each list's pivot of this round and its members of other components."""
+    order = F.struct(F.xxhash64("id", F.lit(turn)) if turn else F.col("id"), "id")
+    pivots = mixed.groupBy("v").agg(F.min_by(F.struct("id", "n", "comp"), order).alias("p"))
+    return mixed.join(pivots, "v").where(
+        (F.col("comp") != F.col("p.comp")) & similar_size("n", "p.n", percent)
+    ).select(*ordered(F.col("id"), F.col("p.id"))).distinct()
+
+
+def open_pairs(mixed: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that meet in a list, from blocks compared in memory."""
+    # only members outside a list's main component must meet all the others:
     # blocks of those (left) against blocks of all (right), a group for each two blocks
-    long = left.where(F.col("df") > SHORT_LIST)
     main = materialise(
-        long.groupBy("v", "comp").count().groupBy("v").agg(F.max(F.struct("count", "comp")).alias("main")), "main"
+        mixed.groupBy("v", "comp").count().groupBy("v").agg(F.sum("count").alias("df"), F.max(F.struct("count", "comp")).alias("main")), "main"
     )
-    long = long.join(main, "v").withColumn("r_blocks", F.ceil(F.col("df") / BLOCK).cast("int")).withColumn(
+    cells = mixed.join(main, "v").withColumn("r_blocks", F.ceil(F.col("df") / BLOCK).cast("int")).withColumn(
         "l_blocks", F.ceil((F.col("df") - F.col("main.count")) / BLOCK).cast("int")
     )
     block = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     columns = ("v", "i", "j", "side", "id", "n", "comp")
-    lefts = long.where(F.col("comp") != F.col("main.comp")).withColumn("side", F.lit(0)).withColumn(
+    lefts = cells.where(F.col("comp") != F.col("main.comp")).withColumn("side", F.lit(0)).withColumn(
         "i", block(F.col("l_blocks"))).withColumn("j", every("r_blocks")).select(*columns)
-    rights = long.withColumn("side", F.lit(1)).withColumn("j", block(F.col("r_blocks"))).withColumn("i", every("l_blocks")).select(*columns)
-    dealt = lefts.union(rights).join(reps.select("id", "prints"), "id")
+    rights = cells.withColumn("side", F.lit(1)).withColumn("j", block(F.col("r_blocks"))).withColumn("i", every("l_blocks")).select(*columns)
+    # every list a member is in (as many as a sketch has values at most), to report a pair from its first one
+    prints = reps.select("id", F.col("n_shingles").cast("int").alias("n"), "prints")
+    known = materialise(mixed.groupBy("id", "n").agg(F.collect_set("v").alias("vs")).join(prints, ["id", "n"]), "members")
+    dealt = lefts.union(rights).join(known, ["id", "n"]).select(*columns, "vs", "prints")
     least = least_shared(WIDE, percent)
 
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        r = rows[rows["side"] == 1]
-        ids, n, comp = (r[c].to_numpy() for c in ("id", "n", "comp"))
-        out = [np.zeros((0, 2), np.int64)]
-        if len(r):
-            prints = [np.frombuffer(x, "<u2") for x in r["prints"]]
-            flat, starts = np.concatenate(prints), np.cumsum([0, *map(len, prints)])[:-1]
-            there = np.zeros(1 << 16, np.int32)
-            for x in rows[rows["side"] == 0].itertuples():
-                mine = np.frombuffer(x.prints, "<u2")
-                there[mine] = 1
-                shared = np.add.reduceat(there[flat], starts)
-                there[mine] = 0
-                whole = shared * 100 >= (n + x.n - shared) * percent  # exact but for clashes, if both prints are of whole sets
-                ok = np.where(np.maximum(n, x.n) <= WIDE, whole, shared >= least) & (comp != x.comp)
-                ok &= np.minimum(n, x.n) * 100 >= np.maximum(n, x.n) * percent
-                out.append(np.stack([np.minimum(ids[ok], x.id), np.maximum(ids[ok], x.id)], 1))
-        pairs = np.concatenate(out)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return short.union(dealt.groupBy("v", "i", "j").applyInPandas(compare, "a long, b long")).distinct()
+    def pairs_of(rows: list[dict]) -> list[tuple[int, int]]:
+        """The similar pairs of one group of blocks."""
+        left, right = ([r for r in rows if r["side"] == side] for side in (0, 1))
+        if not left or not right:
+            return []
+        ids, n, comp = (np.array([r[c] for r in right], np.int64) for c in ("id", "n", "comp"))
+        prints = [np.frombuffer(r["prints"], "<u2") for r in right]
+        flat, starts = np.concatenate(prints), np.cumsum([0, *map(len, prints)])[:-1]
+        there = np.zeros(1 << 16, np.int32)
+        lists: dict[int, frozenset] = {}
+        out = []
+        for x in left:
+            other = comp != x["comp"]
+            other &= np.minimum(n, x["n"]) * 100 >= np.maximum(n, x["n"]) * percent
+            if not other.any():
+                continue
+            mine = np.frombuffer(x["prints"], "<u2")
+            there[mine] = 1
+            shared = np.add.reduceat(there[flat], starts)
+            there[mine] = 0
+            whole = shared * 100 >= (n + x["n"] - shared) * percent  # exact but for clashes, if both prints are of whole sets
+            ok = np.where(np.maximum(n, x["n"]) <= WIDE, whole, shared >= least) & other
+            for k in np.flatnonzero(ok).tolist():
+                if k not in lists:
+                    lists[k] = frozenset(right[k]["vs"])
+                if min(lists[k].intersection(x["vs"])) == x["v"]:
+                    out.append((min(x["id"], int(ids[k])), max(x["id"], int(ids[k]))))
+        return out
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            found = []
+            for r in batch.to_pylist():
+                key = (r["v"], r["i"], r["j"])
+                if key != now:
+                    found += pairs_of(held)
+                    now, held = key, []
+                held.append(r)
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+        found = pairs_of(held)
+        yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    ranged = dealt.repartition("v", "i", "j").sortWithinPartitions("v", "i", "j")
+    return ranged.mapInArrow(compare, "a long, b long").distinct()
 
 
 def near_dups(docs: DataFrame, width: int = 2, percent: int = 80, k: int = K, least: int = LEAST_SHARED) -> DataFrame:
@@ -237,24 +283,21 @@ def near_dups(docs: DataFrame, width: int = 2, percent: int = 80, k: int = K, le
         "reps",
     )
     lists = materialise(listed(reps, k, least, percent), "lists")
-    order = lambda salt: F.min_by(F.struct("id", "n"), F.struct(F.xxhash64("id", F.lit(salt)), "id"))
-    stats = materialise(
-        lists.groupBy("v").agg(
-            F.count(F.lit(1)).alias("df"), F.array(F.min(F.struct("id", "n")), *[order(i) for i in range(1, PIVOTS)]).alias("pivots")
-        ).where("df > 1"),
-        "lists-stats",
-    )
-    pivots = F.when(F.col("df") > SHORT_LIST, F.col("pivots")).otherwise(F.slice("pivots", 1, 1))
-    star = lists.join(stats, "v").select("id", "n", F.explode(F.array_distinct(pivots)).alias("p")).where(
-        (F.col("id") != F.col("p.id")) & similar_size("n", "p.n", percent)
-    ).select(*ordered(F.col("id"), F.col("p.id"))).distinct()
-    links = materialise(verified(estimated(star, reps, k, least, percent), docs, width, percent), "links")
-    comps = materialise(components(links), "components")
-    rest = materialise(estimated(open_pairs(lists, stats, reps, comps, percent), reps, k, least, percent), "rest")
-    if not rest.isEmpty():
-        links = links.union(materialise(verified(rest, docs, width, percent), "links"))
-        # equal sets are one node already; rows that share a doc_id join their classes through it
-        comps = materialise(components(links), "components")
+    comps = materialise(reps.select("id", F.col("id").alias("component_id")).limit(0), "components")
+    for turn in range(ROUNDS):
+        mixed = mixed_lists(lists, comps)
+        links = verified(estimated(star_pairs(mixed, turn, percent), reps, k, least, percent), docs, width, percent)
+        discard(mixed)
+        if links.isEmpty():
+            break
+        comps = joined(comps, links)
+        discard(links)
+    mixed = mixed_lists(lists, comps)
+    links = verified(estimated(open_pairs(mixed, reps, percent), reps, k, least, percent), docs, width, percent)
+    discard(mixed, lists)
+    # equal sets are one node already; rows that share a doc_id join their classes through it
+    if not links.isEmpty():
+        comps = joined(comps, links)
     classes = materialise(
         reps.join(comps, "id", "left").select("set_key", F.coalesce("component_id", "id").alias("component_id")), "classes"
     )
