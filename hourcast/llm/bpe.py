@@ -23,12 +23,13 @@ import base64
 import hashlib
 import heapq
 import json
-import random
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +40,8 @@ LONG_WORD = 200
 #: Bytes of text of a chunk, and chunks of which one group of a word's places may hold the numbers.
 CHUNK_BYTES = 56 << 20
 PLACES = 1024
+#: A place is one long: the chunk's number, then this many bits for the word's number in it.
+PLACE_BITS = 26
 NONE = 2**31 - 1
 _MULTIPLIERS = (7919, 613, 31, 1009)
 
@@ -127,24 +130,28 @@ class RankTable:
         #: Entries that merges do not reach: a word equal to one is that one id.
         self.irregular = {p: r for p, r in ranks.items() if len(p) > 1 and merge_word(p, _Without(ranks, p)) != [r]}
 
-    def rank(self, a: Column, b: Column) -> Column:
-        """Id (and rank) of the merged pair, or NONE."""
+    def rank(self, t: Column, a: Column, b: Column) -> Column:
+        """Id (and rank) of the merged pair, or NONE; ``t`` holds the literal arrays."""
         m = _MULTIPLIERS
-        shift = F.get(self.shifts, F.pmod(a * m[2] + b * m[3], F.lit(self.groups)))
+        shift = F.get(t["shifts"], F.pmod(a * m[2] + b * m[3], F.lit(self.groups)))
         slot = F.pmod(a * m[0] + b * m[1] + shift, F.lit(self.slots))
         return bind(slot, lambda s: F.when(
-            F.get(self.keys, s) == F.shiftleft(a.cast("bigint"), 16) + b, F.get(self.values, s)
+            F.get(t["keys"], s) == F.shiftleft(a.cast("bigint"), 16) + b, F.get(t["values"], s)
         ).otherwise(F.lit(NONE)))
 
     def fold(self, word: Column) -> Column:
-        """``array<int>`` of ids of a binary ``word``."""
+        """``array<int>`` of ids of a binary ``word``.  The literal arrays are bound once, so they stand once in the plan."""
+        arrays = F.struct(self.keys.alias("keys"), self.values.alias("values"), self.shifts.alias("shifts"))
+        return bind(arrays, lambda t: self._fold(word, t))
+
+    def _fold(self, word: Column, t: Column) -> Column:
         no_pair = F.array().cast("array<struct<a: int, b: int>>")
         chars = F.decode(word, "ISO-8859-1")  # one character for each byte
         ids = F.transform(F.split(chars, ""), lambda c: F.get(self.bytes, F.ascii(c)))
 
         def start(ids: Column) -> Column:
             after = F.slice(ids, 2, F.greatest(F.size(ids) - 1, F.lit(0)))
-            ranks = F.zip_with(ids, after, lambda a, b: F.when(b.isNull(), F.lit(NONE)).otherwise(self.rank(a, b)))
+            ranks = F.zip_with(ids, after, lambda a, b: F.when(b.isNull(), F.lit(NONE)).otherwise(self.rank(t, a, b)))
             return F.struct(ids.alias("ids"), ranks.alias("ranks"))
 
         def step(state: Column, _: Column) -> Column:
@@ -153,7 +160,7 @@ class RankTable:
             def merged(low: Column, at: Column) -> Column:
                 left = F.when(at > 1, F.array(F.struct(F.get(ids, at - 2).alias("a"), low.alias("b")))).otherwise(no_pair)
                 right = F.array(F.struct(low.alias("a"), F.get(ids, at + 1).alias("b")))
-                beside = F.transform(F.concat(left, right), lambda p: F.when(p["b"].isNull(), F.lit(NONE)).otherwise(self.rank(p["a"], p["b"])))
+                beside = F.transform(F.concat(left, right), lambda p: F.when(p["b"].isNull(), F.lit(NONE)).otherwise(self.rank(t, p["a"], p["b"])))
                 rest = lambda x: F.slice(x, at + 2, F.size(ids))
                 return F.struct(
                     F.concat(F.slice(ids, F.lit(1), at - 1), F.array(low), rest(ids)).alias("ids"),
@@ -216,7 +223,7 @@ def chunked(docs: DataFrame, pattern: str) -> DataFrame:
                 self[word] = n = len(self)
                 return n
 
-        def row(ids: list, lengths: list[int], parts: list[np.ndarray], numbers: Numbers) -> pa.RecordBatch:
+        def row(chunk: int, ids: list, lengths: list[int], parts: list[np.ndarray], numbers: Numbers) -> pa.RecordBatch:
             seq = np.concatenate(parts)
             parts.clear()
             order = np.argsort(-np.bincount(seq, minlength=len(numbers)), kind="stable")  # frequent words get small numbers
@@ -225,12 +232,13 @@ def chunked(docs: DataFrame, pattern: str) -> DataFrame:
             words = list(numbers)
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([random.getrandbits(63)]), pa.array([ids], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int32())),
+                    pa.array([chunk]), pa.array([ids], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int32())),
                     pa.array([pack(place[seq])], pa.binary()), pa.array([[words[i].encode() for i in order]], pa.list_(pa.binary())),
                 ],
                 ["chunk", "doc_ids", "lengths", "sequence", "words"],
             )
 
+        chunk = TaskContext.get().partitionId() << 20
         ids, lengths, parts, numbers, size = [], [], [], Numbers(), 0
         for batch in batches:
             for i, t in zip(batch.column(0), batch.column(1), strict=True):
@@ -241,10 +249,11 @@ def chunked(docs: DataFrame, pattern: str) -> DataFrame:
                 parts.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
                 size += len(text)
                 if size >= CHUNK_BYTES:
-                    yield row(ids, lengths, parts, numbers)
+                    yield row(chunk, ids, lengths, parts, numbers)
+                    chunk += 1
                     ids, lengths, parts, numbers, size = [], [], [], Numbers(), 0
         if ids:
-            yield row(ids, lengths, parts, numbers)
+            yield row(chunk, ids, lengths, parts, numbers)
 
     return docs.select("doc_id", "text").mapInArrow(
         cut, "chunk long, doc_ids array<long>, lengths array<int>, sequence binary, words array<binary>"
@@ -260,7 +269,7 @@ def long_ids(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
             ids = [merge_word(w, shared.value) for w in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(ids, pa.list_(pa.int32()))], ["places", "ids"])
 
-    return words.select("word", "places").mapInArrow(merge, "places array<struct<chunk: bigint, n: int>>, ids array<int>")
+    return words.select("word", "places").mapInArrow(merge, "places array<bigint>, ids array<int>")
 
 
 def sequences(seq: np.ndarray, lengths: list[int], sizes: np.ndarray, starts: np.ndarray, values: np.ndarray) -> Iterator[np.ndarray]:
@@ -300,17 +309,19 @@ def encode_documents(docs: DataFrame, finish, schema: str, path: str | None = No
     size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n = max(1, -(-size // CHUNK_BYTES))
     # bucketed by chunk as it is written, so that the join below does not shuffle the sequences
-    name = f"bpe_chunks_{random.getrandbits(63):x}"
+    name = f"bpe_chunks_{uuid.uuid4().hex}"
     chunked(docs.coalesce(n), pattern or word_pattern()).write.bucketBy(min(n, 4096), "chunk").sortBy("chunk").option(
         "path", shared_path(spark, "bpe-chunks")
     ).option("compression", "zstd").saveAsTable(name)
     chunks = spark.table(name)
     places = chunks.select("chunk", F.posexplode("words").alias("n", "word")).groupBy(
-        "word", F.pmod("chunk", F.lit(-(-n // PLACES))).alias("part")
-    ).agg(F.collect_list(F.struct("chunk", "n")).alias("places"))
+        "word", F.pmod(F.xxhash64("chunk"), F.lit(-(-n // PLACES))).alias("part")
+    ).agg(F.collect_list(F.shiftleft("chunk", PLACE_BITS) + F.col("n")).alias("places"))
     short = places.where(F.octet_length("word") <= LONG_WORD).select("places", table_.fold(F.col("word")).alias("ids"))
     long = long_ids(places.where(F.octet_length("word") > LONG_WORD), ranks)
-    ids = short.union(long).select(F.explode("places").alias("p"), "ids").select("p.chunk", "p.n", "ids")
+    ids = short.union(long).select(F.explode("places").alias("p"), "ids").select(
+        F.shiftright("p", PLACE_BITS).alias("chunk"), F.col("p").bitwiseAND((1 << PLACE_BITS) - 1).cast("int").alias("n"), "ids"
+    )
     return assembled(chunks.select("chunk", "doc_ids", "lengths", "sequence"), ids, schema, finish)
 
 

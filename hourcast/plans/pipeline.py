@@ -42,6 +42,8 @@ class Prepared:
     stats: ImputeStats
     imputed: DataFrame
     windows: DataFrame
+    #: The flattened windows given for prediction, once they have been written.
+    supplied: DataFrame | None = None
 
     @property
     def train_windows(self) -> DataFrame:

@@ -81,19 +81,23 @@ def _fill_sql(direction: str) -> str:
 def _supplied(p):
     """Supplied flattened windows: un-imputed 24 h windows (continuous, target
     observed) ending after the cutoff, flattened to lag columns with the
-    calendar parts of lag 1 and a key ``id``; the target is not included."""
+    calendar parts of lag 1 and a key ``id``; the target is not included.  Written
+    once a session, as the table a user would be given."""
+    if p.supplied is not None:
+        return p.supplied
     from hourcast.operators.splits import ts_lit
     from hourcast.operators.windows import build_windows, flatten_lags
 
     raw = build_windows(p.panel, p.spec).where(F.col("window_end") > ts_lit(p.cutoff))
     flat = flatten_lags(raw.drop("wd_lag_1"), p.spec, measures=(*MEASURES, "wd"))
     t = F.col("window_end")
-    return flat.select(
+    p.supplied = cut_lineage(flat.select(
         F.concat_ws("_", "station", F.date_format(t, "yyyyMMddHH")).alias("id"), "station",
         F.year(t).alias("year_lag_1"), F.month(t).alias("month_lag_1"),
         F.dayofmonth(t).alias("day_lag_1"), F.hour(t).alias("hour_lag_1"),
         *[c for c in flat.columns if "_lag_" in c],
-    )
+    ))
+    return p.supplied
 
 
 def _supplied_sql() -> str:
