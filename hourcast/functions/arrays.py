@@ -99,3 +99,28 @@ def ewma_weights(alpha: float, size: int) -> list[float]:
     raw = [(1.0 - alpha) ** i for i in range(size - 1, -1, -1)]
     tot = sum(raw)
     return [r / tot for r in raw]
+
+
+# --------------------------------------------------------------------------- the same as SQL text
+
+def sql_tail(a: str, k: int, size: int) -> str:
+    return a if k == size else f"slice({a}, {size - k + 1}, {k})"
+
+
+def sql_stats(a: str) -> str:
+    """A struct of count ``n``, sum ``s``, ``mean`` and squared deviations ``m2`` of the non-NULL elements."""
+    step = ("named_struct('n', z.n + 1, 's', z.s + x, 'mean', z.mean + (x - z.mean) / (z.n + 1), "
+            "'m2', z.m2 + (x - z.mean) * (x - (z.mean + (x - z.mean) / (z.n + 1))))")
+    return f"aggregate({a}, named_struct('n', 0, 's', 0D, 'mean', 0D, 'm2', 0D), (z, x) -> if(x IS NULL, z, {step}))"
+
+
+def sql_quantile(s: str, q: float) -> str:
+    """Linear-interpolation quantile of a sorted array without NULLs."""
+    h = f"((size({s}) - 1) * {q}D)"
+    low = f"try_element_at({s}, CAST(floor({h}) AS INT) + 1)"
+    return f"if(size({s}) > 0, {low} + ({h} - floor({h})) * (try_element_at({s}, least(CAST(floor({h}) AS INT) + 2, size({s}))) - {low}), NULL)"
+
+
+def sql_dot(a: str, weights: list[float]) -> str:
+    """Sum of element x weight; any NULL element makes the result NULL."""
+    return f"aggregate(zip_with({a}, array({', '.join(f'{w!r}D' for w in weights)}), (x, w) -> x * w), 0D, (z, x) -> z + x)"

@@ -63,7 +63,7 @@ def with_sorted(df: DataFrame, measures, sizes=MEDIAN_SIZES, size: int = 24) ->
 
 
 def drop_arrays(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith("_a_") or c.startswith("_s_")])
+    return df.drop(*[c for c in df.columns if c.startswith(("_a_", "_s_", "_t_"))])
 
 
 def calendar_features(df: DataFrame, time: str = "window_end") -> list[Column]:
@@ -135,33 +135,36 @@ def compact_interactions(win: Win, have_mean: bool = True) -> list[Column]:
     return out
 
 
+def with_stats(df: DataFrame, measures, sizes=ROLL_SIZES, size: int = 24) -> DataFrame:
+    """Add ``_t_<m>_<k>``: count, sum, running mean and squares of the newest k values, NULLs skipped, in one
+    pass over the array for all that is derived from them (needs ``_a_<m>``)."""
+    return df.select("*", *[F.expr(f"{A.sql_stats(A.sql_tail(f'_a_{m}', k, size))} AS _t_{m}_{k}") for m in measures for k in sizes])
+
+
 def rich_rolling(win: Win, m: str) -> list[Column]:
     """F3-F7 for one measure: rolling mean/std/min/max over 3/6/12/24,
-    medians 6/12/24, q25/q75 over 24, OLS slopes, deltas, acceleration, EWMA."""
-    out = [win.lag(m, 1).alias(f"{m}_latest")]
+    medians 6/12/24, q25/q75 over 24, OLS slopes, deltas, acceleration, EWMA.
+
+    Needs the columns of :func:`with_arrays`, :func:`with_sorted` and :func:`with_stats`; written as SQL text, as
+    hundreds of features cost the driver more to put together call by call than the rows cost to compute."""
+    a, n = f"_a_{m}", win.size
+    lag = lambda k: f"get({a}, {n - k})"
+    out = {f"{m}_latest": lag(1)}
     for k in ROLL_SIZES:
-        a = win.last(m, k)
-        p = f"{m}_{k}h"
-        out += [A.mean(a).alias(f"{p}_mean"), A.std(a).alias(f"{p}_std"),
-                A.amin(a).alias(f"{p}_min"), A.amax(a).alias(f"{p}_max")]
+        part, t, p = A.sql_tail(a, k, n), f"_t_{m}_{k}", f"{m}_{k}h"
+        out[f"{p}_mean"] = f"if({t}.n > 0, {t}.s / {t}.n, NULL)"
+        out[f"{p}_std"] = f"if({t}.n > 1, sqrt({t}.m2 / ({t}.n - 1)), NULL)"
+        out[f"{p}_min"], out[f"{p}_max"] = f"array_min({part})", f"array_max({part})"
         if k in MEDIAN_SIZES:
-            out.append(A.quantile(win.sorted_last(m, k), 0.5, presorted=True).alias(f"{p}_median"))
-        if k == win.size:
-            srt = win.sorted_last(m, k)
-            out += [A.quantile(srt, 0.25, presorted=True).alias(f"{p}_q25"),
-                    A.quantile(srt, 0.75, presorted=True).alias(f"{p}_q75")]
-        out.append(A.dot(a, A.slope_weights(k)).alias(f"{p}_slope"))
-    L = win.lag
-    out += [
-        (L(m, 1) - L(m, 2)).alias(f"{m}_delta_1h"),
-        (L(m, 1) - L(m, 4)).alias(f"{m}_delta_3h"),
-        (L(m, 1) - L(m, 7)).alias(f"{m}_delta_6h"),
-        (L(m, 1) - 2 * L(m, 2) + L(m, 3)).alias(f"{m}_acceleration_3h"),
-    ]
+            out[f"{p}_median"] = A.sql_quantile(f"_s_{m}_{k}", 0.5)
+        if k == n:
+            out[f"{p}_q25"], out[f"{p}_q75"] = A.sql_quantile(f"_s_{m}_{k}", 0.25), A.sql_quantile(f"_s_{m}_{k}", 0.75)
+        out[f"{p}_slope"] = A.sql_dot(part, A.slope_weights(k))
+    out[f"{m}_delta_1h"], out[f"{m}_delta_3h"], out[f"{m}_delta_6h"] = (f"{lag(1)} - {lag(j)}" for j in (2, 4, 7))
+    out[f"{m}_acceleration_3h"] = f"{lag(1)} - 2 * {lag(2)} + {lag(3)}"
     for alpha in EWMA_ALPHAS:
-        tag = str(alpha).replace(".", "")
-        out.append(A.dot(win.v(m), A.ewma_weights(alpha, win.size)).alias(f"{m}_ewma_a{tag}"))
-    return out
+        out[f"{m}_ewma_a{str(alpha).replace('.', '')}"] = A.sql_dot(a, A.ewma_weights(alpha, n))
+    return [F.expr(f"{e} AS {name}") for name, e in out.items()]
 
 
 def rain_sums(win: Win) -> list[Column]:
@@ -217,7 +220,8 @@ def rich_frame(windows: DataFrame, spec: PanelSpec = PanelSpec(), size: int | No
     for m in spec.numeric:
         cols += rich_rolling(win, m)
     cols += rain_sums(win) + rich_interactions(win, spec.series)
-    feats = drop_arrays(with_sorted(with_arrays(windows, spec.numeric), spec.numeric, size=win.size).select("*", *cols))
+    arrays = with_sorted(with_arrays(windows, spec.numeric), spec.numeric, size=win.size)
+    feats = drop_arrays(with_stats(arrays, spec.numeric, size=win.size).select("*", *cols))
     doubles = {f.name for f in feats.schema.fields if f.dataType.simpleString() == "double"}
     return feats.select(*[finite_or_null(c).alias(c) if c in doubles else F.col(c) for c in feats.columns])
 

@@ -230,7 +230,7 @@ def _rich_spark(measures):
     def run(spark, sf_dir):
         win = FT.Win()
         cols = [c for m in measures for c in FT.rich_rolling(win, m)]
-        w = FT.with_sorted(FT.with_arrays(prepare(spark, sf_dir).windows, MEASURES), measures)
+        w = FT.with_stats(FT.with_sorted(FT.with_arrays(prepare(spark, sf_dir).windows, MEASURES), measures), measures)
         return normalise(w.select("station", "window_end", *cols))
 
     return run
