@@ -11,16 +11,17 @@ far fewer above; sets smaller than k are their own sketches, which is exact.
    values only its rarest ``k - LEAST_SHARED + 1`` are listed.  Any pair that shares
    ``LEAST_SHARED`` values meets in one of those, so frequent shingles and passages
    that many documents share seldom make lists.
-3. Star rounds: of every list that still holds two components one member, the least by a
-   hash of the round, is paired with the members of other components; pairs pass the
-   union-sketch estimate, then exact Jaccard on the full sets, and the links found join
-   components.  A round makes at most one pair per list entry, whatever the lists' lengths.
-4. Lists that hold several components after the last round are dealt in blocks over
-   (list, block, block) groups, where 16-bit prints of wider sketches (``WIDE`` values) of members
-   of different components are compared in memory and only similar pairs come out, each from
-   the first list that both are in.  Prints that clash only add to an overlap, so a set of
-   up to ``WIDE`` shingles is never ruled out wrongly, a larger one in 10^8 pairs once.
-   They take the same estimate and exact check.
+3. Star round: the least member of every list is paired with the others; pairs pass the
+   union-sketch estimate, then exact Jaccard on the full sets, and the links found make
+   components.  That is one pair per list entry at most.
+4. Lists that still hold several components are dealt in blocks over (list, block, block)
+   groups, where 16-bit prints of wider sketches (``WIDE`` values) of members of different
+   components are compared in memory.  First each group gives a spanning forest of its components
+   (never more pairs than members), which is checked exactly and joins components.  Then, over the
+   lists that are left, every similar pair comes out, from the first list that both are in:
+   few, as pairs within a component do not count.  Prints that clash only add to an overlap, so a
+   set of up to ``WIDE`` shingles is never ruled out wrongly, a larger one in 10^8 pairs once.
+   All pairs take the same estimate and exact check.
 
 Defined cases: null, empty and blank texts have empty sets, linked with nothing; one
 word is a set of one; rows with null doc_id are linked with nothing and kept; rows
@@ -47,8 +48,6 @@ LEAST_SHARED = 21
 WIDE = 256
 #: Members of a block of a list: two blocks of prints are 2 MB.
 BLOCK = 2048
-#: Star rounds at most; what they leave open is compared in blocks.
-ROUNDS = 3
 
 
 def shingle_hashes(text: bytes | None, width: int = 2) -> np.ndarray:
@@ -195,17 +194,17 @@ def mixed_lists(lists: DataFrame, comps: DataFrame) -> DataFrame:
     return out
 
 
-def star_pairs(mixed: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs of each list's pivot of this round and its members of other components."""
-    order = F.struct(F.xxhash64("id", F.lit(turn)) if turn else F.col("id"), "id")
-    pivots = mixed.groupBy("v").agg(F.min_by(F.struct("id", "n", "comp"), order).alias("p"))
+def star_pairs(mixed: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each list's least member and its members of other components."""
+    pivots = mixed.groupBy("v").agg(F.min(F.struct("id", "n", "comp")).alias("p"))
     return mixed.join(pivots, "v").where(
         (F.col("comp") != F.col("p.comp")) & similar_size("n", "p.n", percent)
     ).select(*ordered(F.col("id"), F.col("p.id"))).distinct()
 
 
-def open_pairs(mixed: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that meet in a list, from blocks compared in memory."""
+def open_pairs(mixed: DataFrame, reps: DataFrame, percent: int, spanning: bool) -> DataFrame:
+    """Similar pairs of different components that meet in a list, from blocks compared in memory: all of them, or
+    (``spanning``) of each group of blocks a forest that connects what any of its pairs connects."""
     # only members outside a list's main component must meet all the others:
     # blocks of those (left) against blocks of all (right), a group for each two blocks
     main = materialise(
@@ -236,7 +235,14 @@ def open_pairs(mixed: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
         flat, starts = np.concatenate(prints), np.cumsum([0, *map(len, prints)])[:-1]
         there = np.zeros(1 << 16, np.int32)
         lists: dict[int, frozenset] = {}
+        root = {int(c): int(c) for c in comp} | {x["comp"]: x["comp"] for x in left}
         out = []
+
+        def top(c: int) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
         for x in left:
             other = comp != x["comp"]
             other &= np.minimum(n, x["n"]) * 100 >= np.maximum(n, x["n"]) * percent
@@ -248,7 +254,15 @@ def open_pairs(mixed: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
             there[mine] = 0
             whole = shared * 100 >= (n + x["n"] - shared) * percent  # exact but for clashes, if both prints are of whole sets
             ok = np.where(np.maximum(n, x["n"]) <= WIDE, whole, shared >= least) & other
-            for k in np.flatnonzero(ok).tolist():
+            at = np.flatnonzero(ok)
+            if spanning:
+                for k in at[np.unique(comp[at], return_index=True)[1]].tolist():
+                    a, b = top(x["comp"]), top(int(comp[k]))
+                    if a != b:
+                        root[a] = b
+                        out.append((min(x["id"], int(ids[k])), max(x["id"], int(ids[k]))))
+                continue
+            for k in at.tolist():
                 if k not in lists:
                     lists[k] = frozenset(right[k]["vs"])
                 if min(lists[k].intersection(x["vs"])) == x["v"]:
@@ -284,20 +298,17 @@ def near_dups(docs: DataFrame, width: int = 2, percent: int = 80, k: int = K, le
     )
     lists = materialise(listed(reps, k, least, percent), "lists")
     comps = materialise(reps.select("id", F.col("id").alias("component_id")).limit(0), "components")
-    for turn in range(ROUNDS):
+    steps = (lambda mixed: star_pairs(mixed, percent), lambda mixed: open_pairs(mixed, reps, percent, True),
+             lambda mixed: open_pairs(mixed, reps, percent, False))
+    for pairs_of in steps:
         mixed = mixed_lists(lists, comps)
-        links = verified(estimated(star_pairs(mixed, turn, percent), reps, k, least, percent), docs, width, percent)
+        links = verified(estimated(pairs_of(mixed), reps, k, least, percent), docs, width, percent)
         discard(mixed)
-        if links.isEmpty():
-            break
-        comps = joined(comps, links)
+        # equal sets are one node already; rows that share a doc_id join their classes through it
+        if not links.isEmpty():
+            comps = joined(comps, links)
         discard(links)
-    mixed = mixed_lists(lists, comps)
-    links = verified(estimated(open_pairs(mixed, reps, percent), reps, k, least, percent), docs, width, percent)
-    discard(mixed, lists)
-    # equal sets are one node already; rows that share a doc_id join their classes through it
-    if not links.isEmpty():
-        comps = joined(comps, links)
+    discard(lists)
     classes = materialise(
         reps.join(comps, "id", "left").select("set_key", F.coalesce("component_id", "id").alias("component_id")), "classes"
     )

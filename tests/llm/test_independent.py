@@ -134,7 +134,7 @@ def test_bpe_query(spark):
 
 def test_near_dups_under_one_id(spark):
     """Different texts under one doc_id, each near another document's, join those documents; lists stay open after the
-    star rounds, and blocks are smaller than the lists."""
+    star round, and blocks are smaller than the lists."""
     from hourcast.llm import minhash_dedup as M
 
     rng = np.random.default_rng(7)
@@ -152,11 +152,11 @@ def test_near_dups_under_one_id(spark):
     rows += [(200 + i, " ".join(chain[3 * i:3 * i + rest])) for i in range(25)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute_components([r for r in rows if r[0] != 100])
-    whole, M.BLOCK, M.ROUNDS = (M.BLOCK, M.ROUNDS), 4, 1
+    whole, M.BLOCK = M.BLOCK, 4
     try:
         got = {(r.doc_id, r.n_shingles): r.component_id for r in M.near_dups(docs).collect()}
     finally:
-        M.BLOCK, M.ROUNDS = whole
+        M.BLOCK = whole
     assert {got[k] for k in got if k[0] in (1, 2, 3, 100)} == {1}
     assert {d: c for (d, _), c in got.items() if d >= 200} == {d: c for d, (_, c) in want.items() if d >= 200}
 
