@@ -152,11 +152,11 @@ def test_near_dups_under_one_id(spark):
     rows += [(200 + i, " ".join(chain[3 * i:3 * i + rest])) for i in range(25)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute_components([r for r in rows if r[0] != 100])
-    whole, M.BLOCK = M.BLOCK, 4
+    whole, M.BLOCK, M.SHORT_LIST = (M.BLOCK, M.SHORT_LIST), 4, 5
     try:
         got = {(r.doc_id, r.n_shingles): r.component_id for r in M.near_dups(docs).collect()}
     finally:
-        M.BLOCK = whole
+        M.BLOCK, M.SHORT_LIST = whole
     assert {got[k] for k in got if k[0] in (1, 2, 3, 100)} == {1}
     assert {d: c for (d, _), c in got.items() if d >= 200} == {d: c for d, (_, c) in want.items() if d >= 200}
 
