@@ -10,16 +10,20 @@ far fewer above; sets smaller than k are their own sketches, which is exact.
 2. Inverted lists: values retained by one sketch only are dropped; of a sketch's
    values only its rarest ``k - LEAST_SHARED + 1`` are listed.  Any pair that shares
    ``LEAST_SHARED`` values meets in one of those, so frequent shingles and passages
-   that many documents share seldom make lists.
-3. Star round: every list's members are paired with its smallest few ids; pairs
-   pass the union-sketch estimate, then exact Jaccard on the full sets.  Components
-   of the links found settle most lists: all members in one component.
+   that many documents share seldom make lists.  Each entry carries its whole sketch
+   as 256 bits: the common bits of two entries bound the overlap of their sketches from
+   above, so documents that meet by chance are told apart inside the list and make no
+   pair, however many they become in a larger corpus.
+3. Star round: every list's members are compared with its smallest id, those of long
+   lists with a few more; pairs pass the union-sketch estimate, then exact Jaccard on
+   the full sets.  Components of the links found settle most lists: all members in one
+   component.  A list of two is settled by its one pair.
 4. What is left are pairs of *different* components in one list.  Short lists give
    them directly; long ones are dealt in blocks over (list, block, block) groups,
    where 16-bit prints of wider sketches (``WIDE`` values) are compared in memory and
-   only similar pairs come out.  Prints that clash only add to an overlap, so a set of
-   up to ``WIDE`` shingles is never ruled out wrongly, a larger one in 10^8 pairs once.
-   They take the same estimate and exact check.
+   only similar pairs come out, each from the first such list that holds both.  Prints
+   that clash only add to an overlap, so a set of up to ``WIDE`` shingles is never ruled
+   out wrongly, a larger one in 10^8 pairs once.  They take the same estimate and exact check.
 
 Defined cases: null, empty and blank texts have empty sets, linked with nothing; one
 word is a set of one; rows with null doc_id are linked with nothing and kept; rows
@@ -39,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourcast.llm.common import LOWER_BYTES, components, materialise, mix64, table
+from hourcast.llm.common import LOWER_BYTES, components, discard, materialise, mix64, table
 
 K = 48
 LEAST_SHARED = 21
@@ -50,6 +54,9 @@ WIDE = 256
 #: Members of a block of a long list: two blocks of prints are 2 MB.
 BLOCK = 2048
 PIVOTS = 12
+#: 64-bit words of a sketch's bit set.
+WORDS = 4
+BITS = "struct<" + ", ".join(f"w{i}: long" for i in range(WORDS)) + ">"
 
 
 def shingle_hashes(text: bytes | None, width: int = 2) -> np.ndarray:
@@ -68,6 +75,13 @@ def shingle_hashes(text: bytes | None, width: int = 2) -> np.ndarray:
     return np.unique(out.view(np.int64))
 
 
+def bit_words(values: np.ndarray) -> np.ndarray:
+    """The bit set of the values' low bits, as ``WORDS`` signed 64-bit words."""
+    marks = np.zeros(64 * WORDS, np.uint8)
+    marks[(values & (64 * WORDS - 1)).astype(np.intp)] = 1
+    return np.packbits(marks, bitorder="little").view("<i8")
+
+
 def least_shared(k: int, percent: int, missed: float = 1e-8) -> int:
     """Fewest shared values of a union sketch of ``k`` that are less likely than ``missed``
     to be undercut by sets of that similarity."""
@@ -81,27 +95,31 @@ def least_shared(k: int, percent: int, missed: float = 1e-8) -> int:
 
 def sketches(docs: DataFrame, width: int = 2, k: int = K) -> DataFrame:
     """Per row: doc_id, n_shingles, set_key (16-byte digest of the set, null if empty),
-    sketch, prints (low 16 bits of the ``WIDE`` smallest hashes)."""
+    sketch, bits (its bit set), prints (low 16 bits of the ``WIDE`` smallest hashes)."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, keys, low, prints = [], [], [], []
+            n, keys, low, bits, prints = [], [], [], [], []
             for t in batch.column(1):
                 h = shingle_hashes(t.as_py(), width)
                 n.append(len(h))
                 keys.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None)
                 low.append(h[:k])
+                bits.append(bit_words(h[:k]))
                 prints.append(h[:WIDE].astype("<u2").tobytes())
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in low])]).astype(np.int32)
             flat = np.concatenate(low) if low else np.zeros(0, np.int64)
+            words = np.stack(bits) if bits else np.zeros((0, WORDS), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.ListArray.from_arrays(offsets, pa.array(flat)), pa.array(prints, pa.binary())],
-                ["doc_id", "n_shingles", "set_key", "sketch", "prints"],
+                 pa.ListArray.from_arrays(offsets, pa.array(flat)),
+                 pa.StructArray.from_arrays([pa.array(words[:, i]) for i in range(WORDS)], [f"w{i}" for i in range(WORDS)]),
+                 pa.array(prints, pa.binary())],
+                ["doc_id", "n_shingles", "set_key", "sketch", "bits", "prints"],
             )
 
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
-        sketch, "doc_id long, n_shingles long, set_key binary, sketch array<long>, prints binary"
+        sketch, f"doc_id long, n_shingles long, set_key binary, sketch array<long>, bits {BITS}, prints binary"
     )
 
 
@@ -127,15 +145,22 @@ def part_of(size, percent: int):
 
 
 def listed(reps: DataFrame, k: int = K, least: int = LEAST_SHARED, percent: int = 80) -> DataFrame:
-    """Inverted lists ``(v, id, n)``: each sketch's rarest values that another sketch retains too."""
-    rows = reps.select("id", F.col("n_shingles").cast("int").alias("n"), F.explode("sketch").alias("v"))
+    """Inverted lists ``(v, id, n, bits)``: each sketch's rarest values that another sketch retains too."""
+    keyed = reps.withColumn("key", F.xxhash64("set_key"))
+    rows = keyed.select("key", F.explode("sketch").alias("v"))
     counts = materialise(rows.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "sketch-counts")
     size = F.least("n", F.lit(k))
     prefix = size - F.least(part_of(size, percent), F.lit(least)) + 1
-    shared = rows.join(counts, "v").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
+    shared = rows.join(counts, "v").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
+    shared = shared.join(keyed.select("key", "id", F.col("n_shingles").cast("int").alias("n"), "bits"), "key")
     # values that no other sketch has are the rarest: they fill the prefix first
     take = F.greatest(F.lit(0), prefix - (size - F.size("vs"))).cast("int")
-    return shared.select("id", "n", F.explode(F.slice("vs", F.lit(1), take)).alias("x")).select(F.col("x.v").alias("v"), "id", "n")
+    lists = materialise(
+        shared.select("id", "n", "bits", F.explode(F.slice("vs", F.lit(1), take)).alias("x")).select(F.col("x.v").alias("v"), "id", "n", "bits"),
+        "lists",
+    )
+    discard(counts)
+    return lists
 
 
 def ordered(a: Column, b: Column) -> list[Column]:
@@ -146,6 +171,18 @@ def similar_size(n1: str, n2: str, percent: int) -> Column:
     return F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent
 
 
+def may_share(a: str, b: str, k: int, least: int, percent: int) -> Column:
+    """Whether the entries' bit sets leave room for the overlap that the estimate asks for.
+
+    The values that two sketches share have at least as many different bits as there are
+    such values, less the values of one sketch that fall on a bit already taken."""
+    ones = lambda x: sum(F.bit_count(F.col(f"{x}.bits.w{i}")) for i in range(WORDS))
+    common = sum(F.bit_count(F.col(f"{a}.bits.w{i}").bitwiseAND(F.col(f"{b}.bits.w{i}"))) for i in range(WORDS))
+    size = lambda x: F.least(F.col(f"{x}.n"), F.lit(k))
+    need = F.least(F.lit(least), part_of(F.greatest(size(a), size(b)), percent))
+    return common >= need - F.least(size(a) - ones(a), size(b) - ones(b))
+
+
 def estimated(pairs: DataFrame, reps: DataFrame, k: int, least: int, percent: int) -> DataFrame:
     """Pairs ``(a, b)`` whose union sketch does not rule out the similarity."""
     s = reps.select("id", "sketch")
@@ -170,25 +207,27 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     return p.where(both * 100 >= union * percent).select("a", "b").distinct()
 
 
-def open_pairs(lists: DataFrame, stats: DataFrame, reps: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+def open_pairs(
+    lists: DataFrame, stats: DataFrame, reps: DataFrame, comps: DataFrame, k: int, least: int, percent: int
+) -> DataFrame:
     """Pairs of different components that meet in a list: of short lists directly,
     of long ones from blocks compared in memory."""
     labelled = materialise(
-        lists.join(stats.select("v", "df"), "v").join(comps, "id", "left")
-        .withColumn("comp", F.coalesce("component_id", "id")).select("v", "df", "id", "n", "comp"),
+        lists.join(stats.where("df > 2").select("v", "df"), "v").join(comps, "id", "left")
+        .withColumn("comp", F.coalesce("component_id", "id")).select("v", "df", "id", "n", "bits", "comp"),
         "labelled",
     )
-    mixed = materialise(
-        labelled.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("v", "lo"), "mixed"
-    )
+    mixed = labelled.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("v")
     left = materialise(labelled.join(mixed, "v"), "open")
-    short = left.where(F.col("df") <= SHORT_LIST).groupBy("v").agg(F.collect_list(F.struct("id", "n", "comp")).alias("m"))
+    discard(labelled)
+    short = left.where(F.col("df") <= SHORT_LIST).groupBy("v").agg(F.collect_list(F.struct("id", "n", "bits", "comp")).alias("m"))
     short = short.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y")).where(
         (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp")) & similar_size("x.n", "y.n", percent)
+        & may_share("x", "y", k, least, percent)
     ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
     # of a long list, only members outside its main component must meet all the others:
     # blocks of those (left) against blocks of all (right), a group for each two blocks
-    long = left.where(F.col("df") > SHORT_LIST)
+    long = left.where(F.col("df") > SHORT_LIST).drop("bits")
     main = materialise(
         long.groupBy("v", "comp").count().groupBy("v").agg(F.max(F.struct("count", "comp")).alias("main")), "main"
     )
@@ -197,15 +236,17 @@ def open_pairs(lists: DataFrame, stats: DataFrame, reps: DataFrame, comps: DataF
     )
     block = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ("v", "i", "j", "side", "id", "n", "comp")
+    columns = ("v", "i", "j", "side", "id", "n", "comp", "vs")
+    # the lists that a member is in tell whether an earlier one holds the pair (at most a prefix a text)
+    long = long.join(long.groupBy("id", "n").agg(F.array_sort(F.collect_set("v")).alias("vs")), ["id", "n"])
     lefts = long.where(F.col("comp") != F.col("main.comp")).withColumn("side", F.lit(0)).withColumn(
         "i", block(F.col("l_blocks"))).withColumn("j", every("r_blocks")).select(*columns)
     rights = long.withColumn("side", F.lit(1)).withColumn("j", block(F.col("r_blocks"))).withColumn("i", every("l_blocks")).select(*columns)
     # (one doc_id may have several texts: a member is told by id and set size)
     dealt = lefts.union(rights).join(reps.select("id", F.col("n_shingles").cast("int").alias("n"), "prints"), ["id", "n"]).select(*columns, "prints")
-    least = least_shared(WIDE, percent)
+    wide = least_shared(WIDE, percent)
 
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+    def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         r = rows[rows["side"] == 1]
         ids, n, comp = (r[c].to_numpy() for c in ("id", "n", "comp"))
         out = [np.zeros((0, 2), np.int64)]
@@ -213,15 +254,21 @@ def open_pairs(lists: DataFrame, stats: DataFrame, reps: DataFrame, comps: DataF
             prints = [np.frombuffer(x, "<u2") for x in r["prints"]]
             flat, starts = np.concatenate(prints), np.cumsum([0, *map(len, prints)])[:-1]
             there = np.zeros(1 << 16, np.int32)
+            # every member is in this list, so none of its parts is empty
+            lists_of, places = np.unique(np.concatenate(r["vs"].to_list()), return_inverse=True)
+            list_starts = np.cumsum([0, *map(len, r["vs"])])[:-1]
             for x in rows[rows["side"] == 0].itertuples():
                 mine = np.frombuffer(x.prints, "<u2")
                 there[mine] = 1
                 shared = np.add.reduceat(there[flat], starts)
                 there[mine] = 0
                 whole = shared * 100 >= (n + x.n - shared) * percent  # exact but for clashes, if both prints are of whole sets
-                ok = np.where(np.maximum(n, x.n) <= WIDE, whole, shared >= least) & (comp != x.comp)
+                ok = np.where(np.maximum(n, x.n) <= WIDE, whole, shared >= wide) & (comp != x.comp)
                 ok &= np.minimum(n, x.n) * 100 >= np.maximum(n, x.n) * percent
-                out.append(np.stack([np.minimum(ids[ok], x.id), np.maximum(ids[ok], x.id)], 1))
+                if ok.any():
+                    earlier = np.isin(lists_of, [v for v in x.vs if v < key[0]])
+                    ok &= ~np.logical_or.reduceat(earlier[places], list_starts)
+                    out.append(np.stack([np.minimum(ids[ok], x.id), np.maximum(ids[ok], x.id)], 1))
         pairs = np.concatenate(out)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
@@ -234,24 +281,28 @@ def near_dups(docs: DataFrame, width: int = 2, percent: int = 80, k: int = K, le
     rows = materialise(sketches(docs, width, k), "sketches")
     known = rows.where("doc_id is not null and set_key is not null")
     reps = materialise(
-        known.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("prints").alias("prints")),
+        known.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"),
+            F.first("bits").alias("bits"), F.first("prints").alias("prints"),
+        ),
         "reps",
     )
-    lists = materialise(listed(reps, k, least, percent), "lists")
-    order = lambda salt: F.min_by(F.struct("id", "n"), F.struct(F.xxhash64("id", F.lit(salt)), "id"))
+    lists = listed(reps, k, least, percent)
+    member = F.struct("id", "n", "bits")
+    order = lambda salt: F.min_by(member, F.struct(F.xxhash64("id", F.lit(salt)), "id"))
     stats = materialise(
-        lists.groupBy("v").agg(
-            F.count(F.lit(1)).alias("df"), F.array(F.min(F.struct("id", "n")), *[order(i) for i in range(1, PIVOTS)]).alias("pivots")
-        ).where("df > 1"),
-        "lists-stats",
+        lists.groupBy("v").agg(F.count(F.lit(1)).alias("df"), F.min(member).alias("p")).where("df > 1"), "lists-stats"
+    )
+    long = lists.join(stats.where(F.col("df") > SHORT_LIST).select("v"), "v")
+    more = long.groupBy("v").agg(F.array_distinct(F.array(*[order(i) for i in range(1, PIVOTS)])).alias("pivots"))
+    met = lists.join(stats.select("v", "p"), "v").select(member.alias("x"), "p").union(
+        long.join(more, "v").select(member.alias("x"), F.explode("pivots").alias("p"))
     )
-    pivots = F.when(F.col("df") > SHORT_LIST, F.col("pivots")).otherwise(F.slice("pivots", 1, 1))
-    star = lists.join(stats, "v").select("id", "n", F.explode(F.array_distinct(pivots)).alias("p")).where(
-        (F.col("id") != F.col("p.id")) & similar_size("n", "p.n", percent)
-    ).select(*ordered(F.col("id"), F.col("p.id"))).distinct()
+    star = met.where(
+        (F.col("x.id") != F.col("p.id")) & similar_size("x.n", "p.n", percent) & may_share("x", "p", k, least, percent)
+    ).select(*ordered(F.col("x.id"), F.col("p.id"))).distinct()
     links = materialise(verified(estimated(star, reps, k, least, percent), docs, width, percent), "links")
     comps = materialise(components(links), "components")
-    rest = materialise(estimated(open_pairs(lists, stats, reps, comps, percent), reps, k, least, percent), "rest")
+    rest = materialise(estimated(open_pairs(lists, stats, reps, comps, k, least, percent), reps, k, least, percent), "rest")
     if not rest.isEmpty():
         links = links.union(materialise(verified(rest, docs, width, percent), "links"))
         # equal sets are one node already; rows that share a doc_id join their classes through it
