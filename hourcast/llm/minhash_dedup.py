@@ -54,6 +54,8 @@ WIDE = 256
 #: Members of a block of a long list: two blocks of prints are 2 MB.
 BLOCK = 2048
 PIVOTS = 12
+#: Rows of the bit table that tells which ids are asked for (64 bits a row).
+ASKED = 1 << 20
 #: 64-bit words of a sketch's bit set.
 WORDS = 4
 BITS = "struct<" + ", ".join(f"w{i}: long" for i in range(WORDS)) + ">"
@@ -123,6 +125,24 @@ def sketches(docs: DataFrame, width: int = 2, k: int = K) -> DataFrame:
     )
 
 
+def asked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose ``id`` is in ``ids(id)``, by a table of hash bits first: only texts and sketches
+    that are asked for (and the few whose bit another id set) are shuffled.
+
+    The table has at most ``ASKED`` rows of two numbers, whatever the number of ids, so it is
+    broadcast; some 10^7 ids fill it up, from where on more rows pass to the join that decides."""
+    slot = F.pmod(F.xxhash64("id"), F.lit(ASKED)).alias("slot")
+    bit = F.expr("shiftleft(1L, cast(pmod(shiftrightunsigned(xxhash64(id), 40), 64) as int))")
+    marks = ids.groupBy(slot).agg(F.bit_or(bit).alias("marks"))
+    near = rows.withColumn("slot", slot).join(F.broadcast(marks), "slot").where(F.col("marks").bitwiseAND(bit) != 0)
+    return near.drop("slot", "marks").join(ids, "id", "left_semi")
+
+
+def ends(pairs: DataFrame) -> DataFrame:
+    """The distinct ids on ``pairs(a, b)``."""
+    return pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+
+
 def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """``(id, hashes)`` of the documents in ``ids(id)``."""
 
@@ -133,10 +153,8 @@ def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
                     [pa.array([i]), pa.array([shingle_hashes(t, width)], pa.list_(pa.int64()))], ["id", "hashes"]
                 )
 
-    return (
-        docs.select(F.col("doc_id").alias("id"), F.col("text").cast("binary").alias("text"))
-        .join(ids, "id", "left_semi").mapInArrow(hashes, "id long, hashes array<long>")
-    )
+    texts = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("binary").alias("text"))
+    return asked(texts, ids).mapInArrow(hashes, "id long, hashes array<long>")
 
 
 def part_of(size, percent: int):
@@ -185,7 +203,8 @@ def may_share(a: str, b: str, k: int, least: int, percent: int) -> Column:
 
 def estimated(pairs: DataFrame, reps: DataFrame, k: int, least: int, percent: int) -> DataFrame:
     """Pairs ``(a, b)`` whose union sketch does not rule out the similarity."""
-    s = reps.select("id", "sketch")
+    pairs = materialise(pairs, "met")
+    s = asked(reps.select("id", "sketch"), materialise(ends(pairs), "met-ids"))
     p = pairs.join(s.select(F.col("id").alias("a"), F.col("sketch").alias("s_a")), "a")
     p = p.join(s.select(F.col("id").alias("b"), F.col("sketch").alias("s_b")), "b")
     every = F.array_union("s_a", "s_b")
@@ -198,13 +217,15 @@ def estimated(pairs: DataFrame, reps: DataFrame, k: int, least: int, percent: in
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs whose full sets have the similarity."""
     pairs = materialise(pairs.distinct(), "pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    ids = materialise(ends(pairs), "pair-ids")
     sets = materialise(full_sets(docs, ids, width), "sets")
     p = pairs.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("h_a")), "a")
     p = p.join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("h_b")), "b")
     both = F.size(F.array_intersect("h_a", "h_b"))
     union = F.size("h_a") + F.size("h_b") - both
-    return p.where(both * 100 >= union * percent).select("a", "b").distinct()
+    links = materialise(p.where(both * 100 >= union * percent).select("a", "b").distinct(), "links")
+    discard(pairs, ids, sets)
+    return links
 
 
 def open_pairs(
@@ -275,6 +296,18 @@ def open_pairs(
     return short.union(dealt.groupBy("v", "i", "j").applyInPandas(compare, "a long, b long")).distinct()
 
 
+def merged(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """Components ``(id, component_id)`` after further ``links(a, b)``, found on the links between components."""
+    known = lambda c: comps.select(F.col("id").alias(c), F.col("component_id").alias(f"of_{c}"))
+    top = lambda c: F.coalesce(f"of_{c}", c).alias(c)
+    between = links.join(known("a"), "a", "left").join(known("b"), "b", "left").select(top("a"), top("b")).distinct()
+    found = materialise(components(between), "joined").select(F.col("id").alias("component_id"), F.col("component_id").alias("least"))
+    old = comps.join(found, "component_id", "left").select("id", F.coalesce("least", "component_id").alias("component_id"))
+    # documents that had no link before stand for themselves in ``found``
+    new = found.select(F.col("component_id").alias("id"), F.col("least").alias("component_id")).join(comps.select("id"), "id", "left_anti")
+    return materialise(old.union(new), "components")
+
+
 def near_dups(docs: DataFrame, width: int = 2, percent: int = 80, k: int = K, least: int = LEAST_SHARED) -> DataFrame:
     """Per row of ``docs(doc_id, text)``: doc_id, n_shingles, component_id, kept."""
     docs = docs.select("doc_id", "text")
@@ -294,19 +327,22 @@ def near_dups(docs: DataFrame, width: int = 2, percent: int = 80, k: int = K, le
     )
     long = lists.join(stats.where(F.col("df") > SHORT_LIST).select("v"), "v")
     more = long.groupBy("v").agg(F.array_distinct(F.array(*[order(i) for i in range(1, PIVOTS)])).alias("pivots"))
+    # copies meet in many long lists: the further pivots of one of them are enough to a member
+    one = long.groupBy("id", "n", "bits").agg(F.min("v").alias("v"))
     met = lists.join(stats.select("v", "p"), "v").select(member.alias("x"), "p").union(
-        long.join(more, "v").select(member.alias("x"), F.explode("pivots").alias("p"))
+        one.join(more, "v").select(member.alias("x"), F.explode("pivots").alias("p"))
     )
     star = met.where(
         (F.col("x.id") != F.col("p.id")) & similar_size("x.n", "p.n", percent) & may_share("x", "p", k, least, percent)
     ).select(*ordered(F.col("x.id"), F.col("p.id"))).distinct()
-    links = materialise(verified(estimated(star, reps, k, least, percent), docs, width, percent), "links")
+    links = verified(estimated(star, reps, k, least, percent), docs, width, percent)
     comps = materialise(components(links), "components")
-    rest = materialise(estimated(open_pairs(lists, stats, reps, comps, k, least, percent), reps, k, least, percent), "rest")
+    rest = verified(
+        estimated(open_pairs(lists, stats, reps, comps, k, least, percent), reps, k, least, percent), docs, width, percent
+    )
     if not rest.isEmpty():
-        links = links.union(materialise(verified(rest, docs, width, percent), "links"))
         # equal sets are one node already; rows that share a doc_id join their classes through it
-        comps = materialise(components(links), "components")
+        comps = merged(comps, rest)
     classes = materialise(
         reps.join(comps, "id", "left").select("set_key", F.coalesce("component_id", "id").alias("component_id")), "classes"
     )
