@@ -43,6 +43,12 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def collect_garbage(df: DataFrame) -> None:
+    """Have the driver collect its garbage between the parts of a long job: Spark drops shuffle files, broadcast
+    tables and the state of jobs only when their plans are collected, which a driver with free heap puts off."""
+    df.sparkSession._jvm.System.gc()
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only.  ``lower`` is that on texts without multi-byte
     characters, and several times cheaper than ``translate``."""
@@ -56,7 +62,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Alternating large-star / small-star: each round is two grouped minima and two
     joins, written to the shared folder; links never reach the driver.  The
-    number of rounds grows with the logarithm of the longest chain.
+    number of rounds grows with the logarithm of the longest chain.  They end when
+    every node has one smaller neighbour or only larger ones: links are stars then,
+    which a further round would leave as they are.
     """
     e = materialise(
         edges.where(F.col("a") != F.col("b"))
@@ -64,14 +72,15 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         .distinct(),
         "edges",
     )
-    state = None
     for _ in range(most_rounds):
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == tuple(now):
+        ends = e.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+            e.select("v", F.lit(0), F.lit(1))
+        )
+        ends = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if not ends.where("up > 1 or (up = 1 and down = 1)").agg(F.count(F.lit(1))).first()[0]:
             return e.select(F.col("u").alias("id"), F.col("v").alias("component_id")).union(
                 e.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct()
             )
-        state = tuple(now)
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = materialise(
             both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low"

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourcast.llm.common import LOWER_BYTES, components, discard, materialise, mix64, table
+from hourcast.llm.common import LOWER_BYTES, collect_garbage, components, discard, materialise, mix64, table
 
 K = 48
 LEAST_SHARED = 21
@@ -335,11 +335,15 @@ def near_dups(docs: DataFrame, width: int = 2, percent: int = 80, k: int = K, le
     star = met.where(
         (F.col("x.id") != F.col("p.id")) & similar_size("x.n", "p.n", percent) & may_share("x", "p", k, least, percent)
     ).select(*ordered(F.col("x.id"), F.col("p.id"))).distinct()
+    collect_garbage(docs)
     links = verified(estimated(star, reps, k, least, percent), docs, width, percent)
+    collect_garbage(docs)
     comps = materialise(components(links), "components")
+    collect_garbage(docs)
     rest = verified(
         estimated(open_pairs(lists, stats, reps, comps, k, least, percent), reps, k, least, percent), docs, width, percent
     )
+    collect_garbage(docs)
     if not rest.isEmpty():
         # equal sets are one node already; rows that share a doc_id join their classes through it
         comps = merged(comps, rest)

@@ -127,3 +127,16 @@ def test_queries_equal_plain_python(spark):
     assert {r[0]: tuple(r[1:]) for r in S.op4_secret_scan(spark, sf).collect()} == secrets
     assert {r[0]: tuple(r[1:]) for r in L.op10_license_scan(spark, sf).collect()} == licenses
     assert any(x[5] for x in licenses.values()) and any(x[4] for x in secrets.values())
+
+
+def test_stars_take_no_round(spark, monkeypatch):
+    """Links that are stars already took a round of joins, with four tables, to be told so."""
+    from hourcast.llm import common as C
+
+    made, plain = [], C.materialise
+    monkeypatch.setattr(C, "materialise", lambda df, name: made.append(name) or plain(df, name))
+    find = lambda rows: {r.id: r.component_id for r in C.components(spark.createDataFrame(rows, "a long, b long")).collect()}
+    assert find([(1, 2), (3, 1), (9, 7), (5, 5), (2, 1)]) == {1: 1, 2: 1, 3: 1, 7: 7, 9: 7}
+    assert made == ["edges"]
+    chain = [(i, i + 1) for i in range(20)] + [(100, 103), (103, 101), (101, 102)]
+    assert find(chain) == {i: 0 for i in range(21)} | {i: 100 for i in range(100, 104)}
