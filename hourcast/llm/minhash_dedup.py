@@ -20,10 +20,11 @@ far fewer above; sets smaller than k are their own sketches, which is exact.
    component.  A list of two is settled by its one pair.
 4. What is left are pairs of *different* components in one list.  Short lists give
    them directly; long ones are dealt in blocks over (list, block, block) groups,
-   where 16-bit prints of wider sketches (``WIDE`` values) are compared in memory and
-   only similar pairs come out, each from the first such list that holds both.  Prints
-   that clash only add to an overlap, so a set of up to ``WIDE`` shingles is never ruled
-   out wrongly, a larger one in 10^8 pairs once.  They take the same estimate and exact check.
+   where 16-bit prints of wider sketches (``WIDE`` values, made for the members of such
+   lists only) are compared in memory and only similar pairs come out, each from the
+   first such list that holds both.  Prints that clash only add to an overlap, so a set of
+   up to ``WIDE`` shingles is never ruled out wrongly, a larger one in 10^8 pairs once.
+   They take the same estimate and exact check.
 
 Defined cases: null, empty and blank texts have empty sets, linked with nothing; one
 word is a set of one; rows with null doc_id are linked with nothing and kept; rows
@@ -50,8 +51,10 @@ LEAST_SHARED = 21
 #: Lists up to this long give their open pairs directly.
 SHORT_LIST = 32
 #: Values of a wider sketch, kept as 16-bit prints; compared where a long list stays open.
-WIDE = 256
-#: Members of a block of a long list: two blocks of prints are 2 MB.
+#: Most sets have no more, so that similarities of 0.65 to 0.8 make no pairs, which are
+#: the square of their group in number.
+WIDE = 1024
+#: Members of a block of a long list: two blocks of prints are 8 MB at most.
 BLOCK = 2048
 PIVOTS = 12
 #: Rows of the bit table that tells which ids are asked for (64 bits a row).
@@ -97,31 +100,29 @@ def least_shared(k: int, percent: int, missed: float = 1e-8) -> int:
 
 def sketches(docs: DataFrame, width: int = 2, k: int = K) -> DataFrame:
     """Per row: doc_id, n_shingles, set_key (16-byte digest of the set, null if empty),
-    sketch, bits (its bit set), prints (low 16 bits of the ``WIDE`` smallest hashes)."""
+    sketch, bits (its bit set)."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, keys, low, bits, prints = [], [], [], [], []
+            n, keys, low, bits = [], [], [], []
             for t in batch.column(1):
                 h = shingle_hashes(t.as_py(), width)
                 n.append(len(h))
                 keys.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None)
                 low.append(h[:k])
                 bits.append(bit_words(h[:k]))
-                prints.append(h[:WIDE].astype("<u2").tobytes())
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in low])]).astype(np.int32)
             flat = np.concatenate(low) if low else np.zeros(0, np.int64)
             words = np.stack(bits) if bits else np.zeros((0, WORDS), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()),
                  pa.ListArray.from_arrays(offsets, pa.array(flat)),
-                 pa.StructArray.from_arrays([pa.array(words[:, i]) for i in range(WORDS)], [f"w{i}" for i in range(WORDS)]),
-                 pa.array(prints, pa.binary())],
-                ["doc_id", "n_shingles", "set_key", "sketch", "bits", "prints"],
+                 pa.StructArray.from_arrays([pa.array(words[:, i]) for i in range(WORDS)], [f"w{i}" for i in range(WORDS)])],
+                ["doc_id", "n_shingles", "set_key", "sketch", "bits"],
             )
 
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
-        sketch, f"doc_id long, n_shingles long, set_key binary, sketch array<long>, bits {BITS}, prints binary"
+        sketch, f"doc_id long, n_shingles long, set_key binary, sketch array<long>, bits {BITS}"
     )
 
 
@@ -157,13 +158,34 @@ def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return asked(texts, ids).mapInArrow(hashes, "id long, hashes array<long>")
 
 
+def wide_prints(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """``(id, n, prints)`` of the documents in ``ids(id)``: a set's size and the low 16 bits of its
+    ``WIDE`` smallest hashes; an array, as texts of one id may have sets of one size."""
+
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, low = [], []
+            for t in batch.column(1):
+                h = shingle_hashes(t.as_py(), width)
+                n.append(len(h))
+                low.append(h[:WIDE].astype("<u2").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n, pa.int32()), pa.array(low, pa.binary())], ["id", "n", "prints"]
+            )
+
+    texts = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("binary").alias("text"))
+    made = asked(texts, ids).mapInArrow(prints, "id long, n int, prints binary")
+    return made.groupBy("id", "n").agg(F.collect_set("prints").alias("prints"))
+
+
 def part_of(size, percent: int):
     """The least whole number that is ``percent`` of ``size``, in whole numbers."""
     return F.floor((size * percent + 99) / 100).cast("int")
 
 
 def listed(reps: DataFrame, k: int = K, least: int = LEAST_SHARED, percent: int = 80) -> DataFrame:
-    """Inverted lists ``(v, id, n, bits)``: each sketch's rarest values that another sketch retains too."""
+    """Inverted lists ``(v, id, n, bits, df, p)``: each sketch's rarest values that another sketch retains
+    too; df is the list's length, 2 or more, p its member of the smallest id."""
     keyed = reps.withColumn("key", F.xxhash64("set_key"))
     rows = keyed.select("key", F.explode("sketch").alias("v"))
     counts = materialise(rows.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "sketch-counts")
@@ -177,8 +199,13 @@ def listed(reps: DataFrame, k: int = K, least: int = LEAST_SHARED, percent: int
         shared.select("id", "n", "bits", F.explode(F.slice("vs", F.lit(1), take)).alias("x")).select(F.col("x.v").alias("v"), "id", "n", "bits"),
         "lists",
     )
-    discard(counts)
-    return lists
+    stats = materialise(
+        lists.groupBy("v").agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("id", "n", "bits")).alias("p")).where("df > 1"), "lists-stats"
+    )
+    # joined once: all that reads the lists later takes length and first member from their rows
+    found = materialise(lists.join(stats, "v"), "listed")
+    discard(counts, lists, stats)
+    return found
 
 
 def ordered(a: Column, b: Column) -> list[Column]:
@@ -229,18 +256,18 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
 
 
 def open_pairs(
-    lists: DataFrame, stats: DataFrame, reps: DataFrame, comps: DataFrame, k: int, least: int, percent: int
+    lists: DataFrame, docs: DataFrame, comps: DataFrame, width: int, k: int, least: int, percent: int
 ) -> DataFrame:
     """Pairs of different components that meet in a list: of short lists directly,
     of long ones from blocks compared in memory."""
     labelled = materialise(
-        lists.join(stats.where("df > 2").select("v", "df"), "v").join(comps, "id", "left")
+        lists.where("df > 2").join(comps, "id", "left")
         .withColumn("comp", F.coalesce("component_id", "id")).select("v", "df", "id", "n", "bits", "comp"),
         "labelled",
     )
     mixed = labelled.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("v")
     left = materialise(labelled.join(mixed, "v"), "open")
-    discard(labelled)
+    discard(labelled, lists)
     short = left.where(F.col("df") <= SHORT_LIST).groupBy("v").agg(F.collect_list(F.struct("id", "n", "bits", "comp")).alias("m"))
     short = short.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y")).where(
         (F.col("x.id") < F.col("y.id")) & (F.col("x.comp") != F.col("y.comp")) & similar_size("x.n", "y.n", percent)
@@ -264,7 +291,8 @@ def open_pairs(
         "i", block(F.col("l_blocks"))).withColumn("j", every("r_blocks")).select(*columns)
     rights = long.withColumn("side", F.lit(1)).withColumn("j", block(F.col("r_blocks"))).withColumn("i", every("l_blocks")).select(*columns)
     # (one doc_id may have several texts: a member is told by id and set size)
-    dealt = lefts.union(rights).join(reps.select("id", F.col("n_shingles").cast("int").alias("n"), "prints"), ["id", "n"]).select(*columns, "prints")
+    prints = wide_prints(docs, materialise(long.select("id").distinct(), "long-ids"), width)
+    dealt = lefts.union(rights).join(prints, ["id", "n"]).select(*columns, F.explode("prints").alias("prints"))
     wide = least_shared(WIDE, percent)
 
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -315,21 +343,18 @@ def near_dups(docs: DataFrame, width: int = 2, percent: int = 80, k: int = K, le
     known = rows.where("doc_id is not null and set_key is not null")
     reps = materialise(
         known.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"),
-            F.first("bits").alias("bits"), F.first("prints").alias("prints"),
+            F.first("bits").alias("bits"),
         ),
         "reps",
     )
     lists = listed(reps, k, least, percent)
     member = F.struct("id", "n", "bits")
     order = lambda salt: F.min_by(member, F.struct(F.xxhash64("id", F.lit(salt)), "id"))
-    stats = materialise(
-        lists.groupBy("v").agg(F.count(F.lit(1)).alias("df"), F.min(member).alias("p")).where("df > 1"), "lists-stats"
-    )
-    long = lists.join(stats.where(F.col("df") > SHORT_LIST).select("v"), "v")
+    long = lists.where(F.col("df") > SHORT_LIST)
     more = long.groupBy("v").agg(F.array_distinct(F.array(*[order(i) for i in range(1, PIVOTS)])).alias("pivots"))
     # copies meet in many long lists: the further pivots of one of them are enough to a member
     one = long.groupBy("id", "n", "bits").agg(F.min("v").alias("v"))
-    met = lists.join(stats.select("v", "p"), "v").select(member.alias("x"), "p").union(
+    met = lists.select(member.alias("x"), "p").union(
         one.join(more, "v").select(member.alias("x"), F.explode("pivots").alias("p"))
     )
     star = met.where(
@@ -340,9 +365,8 @@ def near_dups(docs: DataFrame, width: int = 2, percent: int = 80, k: int = K, le
     collect_garbage(docs)
     comps = materialise(components(links), "components")
     collect_garbage(docs)
-    rest = verified(
-        estimated(open_pairs(lists, stats, reps, comps, k, least, percent), reps, k, least, percent), docs, width, percent
-    )
+    pairs = open_pairs(lists, docs, comps, width, k, least, percent)
+    rest = verified(estimated(pairs, reps, k, least, percent), docs, width, percent)
     collect_garbage(docs)
     if not rest.isEmpty():
         # equal sets are one node already; rows that share a doc_id join their classes through it

@@ -129,6 +129,27 @@ def test_queries_equal_plain_python(spark):
     assert any(x[5] for x in licenses.values()) and any(x[4] for x in secrets.values())
 
 
+def test_group_below_the_threshold_makes_no_pairs(spark, monkeypatch):
+    """Documents of similarity 0.74 to each other, with sets of over 256: all their pairs were verified on full sets."""
+    from hourcast.llm import minhash_dedup as M
+
+    rng = random.Random(3)
+    words = lambda n: ["".join(rng.choices(string.ascii_lowercase, k=9)) for _ in range(n)]
+    common = words(340)
+    texts = [" ".join(common + words(60)) for _ in range(60)]
+    texts.append(" ".join(texts[40].split()[:-5]))  # its only similar text is not the group's first
+    seen, plain = [], M.verified
+
+    def verified(pairs, *rest):
+        seen.append(pairs.count())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(M, "verified", verified)
+    got = {r.doc_id: r.component_id for r in M.near_dups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {i: 40 if i == 60 else i for i in range(61)}
+    assert len(seen) == 2 and seen[1] < 600  # of 60 * 59 / 2; what is left are pairs of lists of up to 32
+
+
 def test_stars_take_no_round(spark, monkeypatch):
     """Links that are stars already took a round of joins, with four tables, to be told so."""
     from hourcast.llm import common as C
