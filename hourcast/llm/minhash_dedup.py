@@ -282,17 +282,23 @@ def open_pairs(
     long = long.join(main, "v").withColumn("r_blocks", F.ceil(F.col("df") / BLOCK).cast("int")).withColumn(
         "l_blocks", F.ceil((F.col("df") - F.col("main.count")) / BLOCK).cast("int")
     )
-    block = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ("v", "i", "j", "side", "id", "n", "comp", "vs")
-    # the lists that a member is in tell whether an earlier one holds the pair (at most a prefix a text)
-    long = long.join(long.groupBy("id", "n").agg(F.array_sort(F.collect_set("v")).alias("vs")), ["id", "n"])
-    lefts = long.where(F.col("comp") != F.col("main.comp")).withColumn("side", F.lit(0)).withColumn(
-        "i", block(F.col("l_blocks"))).withColumn("j", every("r_blocks")).select(*columns)
-    rights = long.withColumn("side", F.lit(1)).withColumn("j", block(F.col("r_blocks"))).withColumn("i", every("l_blocks")).select(*columns)
+    # one row a member, with the places it has in its lists (at most a prefix a text): what is told of it is joined
+    # once, not at every place; its lists also tell whether an earlier one holds a pair
     # (one doc_id may have several texts: a member is told by id and set size)
-    prints = wide_prints(docs, materialise(long.select("id").distinct(), "long-ids"), width)
-    dealt = lefts.union(rights).join(prints, ["id", "n"]).select(*columns, F.explode("prints").alias("prints"))
+    place = F.struct("v", (F.col("comp") != F.col("main.comp")).alias("apart"), "l_blocks", "r_blocks")
+    members = materialise(
+        long.groupBy("id", "n", "comp").agg(F.array_sort(F.collect_set(place)).alias("places")), "long-members"
+    )
+    prints = wide_prints(docs, materialise(members.select("id").distinct(), "long-ids"), width)
+    told = members.join(prints, ["id", "n"]).withColumn("vs", F.col("places.v")).withColumn("prints", F.explode("prints"))
+    block = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    every = lambda n: F.sequence(F.lit(0), n - 1)
+    group = lambda side, i, j: F.struct(F.lit(side).alias("side"), i.alias("i"), j.alias("j"))
+    rights = F.transform(every(F.col("p.l_blocks")), lambda i: group(1, i, block(F.col("p.r_blocks"))))
+    lefts = F.transform(every(F.col("p.r_blocks")), lambda j: group(0, block(F.col("p.l_blocks")), j))
+    dealt = told.withColumn("p", F.explode("places")).withColumn(
+        "g", F.explode(F.when(F.col("p.apart"), F.concat(rights, lefts)).otherwise(rights))
+    ).select("p.v", "g.i", "g.j", "g.side", "id", "n", "comp", "vs", "prints")
     wide = least_shared(WIDE, percent)
 
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:

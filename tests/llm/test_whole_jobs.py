@@ -150,6 +150,53 @@ def test_group_below_the_threshold_makes_no_pairs(spark, monkeypatch):
     assert len(seen) == 2 and seen[1] < 600  # of 60 * 59 / 2; what is left are pairs of lists of up to 32
 
 
+def join_rows(df) -> int:
+    """Rows that the joins of a collected table's plan made."""
+    def nodes(p):
+        yield p
+        name = p.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            below = [p.executedPlan()]
+        elif name.endswith("QueryStageExec"):
+            below = [p.plan()]
+        else:
+            below = [p.children().apply(i) for i in range(p.children().size())]
+        for x in below:
+            yield from nodes(x)
+
+    joins = [p for p in nodes(df._jdf.queryExecution().executedPlan()) if "Join" in p.nodeName()]
+    assert joins
+    return sum(p.metrics().apply("numOutputRows").value() for p in joins)
+
+
+def test_members_of_long_lists_are_joined_once(spark, monkeypatch):
+    """A member's lists and prints were joined to each of its rows: one a list and block, so the square of a group."""
+    from hourcast.llm import minhash_dedup as M
+
+    rng = random.Random(7)
+    words = lambda n: ["".join(rng.choices(string.ascii_lowercase, k=9)) for _ in range(n)]
+    common = words(340)
+    texts = [" ".join(common + words(60)) for _ in range(70)]
+    texts += [" ".join(texts[i].split()[:-5]) for i in (0, 0, 30, 50)]
+    rows = [*enumerate(texts), (5, texts[60] + " more"), (5, "")]  # a doc_id of three texts joins two groups
+    rows.append((None, texts[0]))
+    seen, plain = [], M.open_pairs
+
+    def open_pairs(*rest):
+        found = plain(*rest)
+        pairs = [tuple(r) for r in found.collect()]
+        assert len(pairs) == len(set(pairs))
+        seen.append(join_rows(found))
+        return found
+
+    monkeypatch.setattr(M, "open_pairs", open_pairs)
+    monkeypatch.setattr(M, "BLOCK", 32)
+    got = sorted((r.doc_id, r.component_id) for r in M.near_dups(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.doc_id is not None)
+    group = {70: 0, 71: 0, 72: 30, 73: 50, 60: 5}
+    assert got == sorted((i, group.get(i, i)) for i, _ in rows if i is not None)
+    assert seen[0] < 10 * len(rows)  # members and their texts, not places in lists and blocks
+
+
 def test_stars_take_no_round(spark, monkeypatch):
     """Links that are stars already took a round of joins, with four tables, to be told so."""
     from hourcast.llm import common as C
