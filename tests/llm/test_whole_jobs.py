@@ -8,6 +8,7 @@ import subprocess
 import sys
 
 import duckdb
+import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -169,8 +170,10 @@ def join_rows(df) -> int:
     return sum(p.metrics().apply("numOutputRows").value() for p in joins)
 
 
-def test_members_of_long_lists_are_joined_once(spark, monkeypatch):
+@pytest.mark.parametrize("pipeline", [False, True])
+def test_members_of_long_lists_are_joined_once(spark, monkeypatch, pipeline):
     """A member's lists and prints were joined to each of its rows: one a list and block, so the square of a group."""
+    import corpus_pipeline
     from hourcast.llm import minhash_dedup as M
 
     rng = random.Random(7)
@@ -191,9 +194,15 @@ def test_members_of_long_lists_are_joined_once(spark, monkeypatch):
 
     monkeypatch.setattr(M, "open_pairs", open_pairs)
     monkeypatch.setattr(M, "BLOCK", 32)
-    got = sorted((r.doc_id, r.component_id) for r in M.near_dups(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.doc_id is not None)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
     group = {70: 0, 71: 0, 72: 30, 73: 50, 60: 5}
-    assert got == sorted((i, group.get(i, i)) for i, _ in rows if i is not None)
+    if pipeline:
+        got = [r.doc_id for r in corpus_pipeline.near_stage(spark, docs, "").collect()]
+        assert sorted(i for i in got if i is not None) == sorted(i for i, _ in rows if i is not None and i not in group)
+        assert got.count(None) == 1
+    else:
+        got = sorted((r.doc_id, r.component_id) for r in M.near_dups(docs).where("doc_id is not null").collect())
+        assert got == sorted((i, group.get(i, i)) for i, _ in rows if i is not None)
     assert seen[0] < 10 * len(rows)  # members and their texts, not places in lists and blocks
 
 
