@@ -4,10 +4,11 @@ Texts are cut into words by the tokenizer's pattern.  Tasks number the words of
 chunk of documents and keep each document as a sequence of those numbers, so text is
 read once and never shuffled.  The distinct words go through one Spark expression:
 a higher-order ``aggregate`` over the word's bytes that merges, at each step, the
-leftmost adjacent pair of lowest rank.  The ranks come from a literal table of all
-mergeable pairs (a hash table without collisions in two arrays, since looking up a
-literal map scans it).  A word's ids return to its chunks, where documents are put
-together; decoding concatenates the ids' binary pieces.
+leftmost adjacent pair of lowest rank.  The ranks come from a table of all mergeable
+pairs (a hash table without collisions in two arrays, since looking up a map scans it),
+a scalar subquery: as literals its arrays were text of every version of the plan.  A
+word's ids return to its chunks, where documents are put together; decoding concatenates
+the ids' binary pieces.
 
 Words longer than ``LONG_WORD`` bytes, for which a fold is quadratic, are merged with
 a heap by the same rule.
@@ -97,16 +98,15 @@ def mergeable_pairs(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
 
 
 class RankTable:
-    """The literal pair table as column expressions.
+    """The pair table as column expressions.
 
     A pair's group has a shift that sends the group's pairs to free slots of the
     key and value arrays; a lookup reads the shift, then compares one key."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, spark: SparkSession, ranks: dict[bytes, int]):
         if max(ranks.values()) >= 1 << 16 or any(bytes([i]) not in ranks for i in range(256)):
             raise ValueError("a byte-level vocabulary of at most 65536 entries is needed")
         pairs = mergeable_pairs(ranks)
-        # as small as it may be: the literal is also part of the plan's text
         self.slots = 1 << max(8, (5 * len(pairs) // 4).bit_length())
         self.groups = self.slots // 2
         m = _MULTIPLIERS
@@ -124,14 +124,18 @@ class RankTable:
             shifts[g] = shift
             for s, (a, b) in zip(at, members, strict=True):
                 keys[s], values[s] = (a << 16) + b, pairs[a, b]
-        literal = lambda x, kind: F.from_json(F.lit(json.dumps(x, separators=(",", ":"))), f"array<{kind}>")
-        self.keys, self.values, self.shifts = literal(keys, "bigint"), literal(values, "int"), literal(shifts, "int")
-        self.bytes = literal([ranks[bytes([i])] for i in range(256)], "int")
+        arrays = pa.table({
+            "keys": pa.array([keys], pa.list_(pa.int64())), "values": pa.array([values], pa.list_(pa.int32())),
+            "shifts": pa.array([shifts], pa.list_(pa.int32())),
+        })
+        #: One row, read by the driver once a query and sent with its tasks, as the literals were.
+        self.arrays = spark.createDataFrame(arrays).select(F.struct("keys", "values", "shifts")).scalar()
+        self.bytes = F.from_json(F.lit(json.dumps([ranks[bytes([i])] for i in range(256)])), "array<int>")
         #: Entries that merges do not reach: a word equal to one is that one id.
         self.irregular = {p: r for p, r in ranks.items() if len(p) > 1 and merge_word(p, _Without(ranks, p)) != [r]}
 
     def rank(self, t: Column, a: Column, b: Column) -> Column:
-        """Id (and rank) of the merged pair, or NONE; ``t`` holds the literal arrays."""
+        """Id (and rank) of the merged pair, or NONE; ``t`` holds the table's arrays."""
         m = _MULTIPLIERS
         shift = F.get(t["shifts"], F.pmod(a * m[2] + b * m[3], F.lit(self.groups)))
         slot = F.pmod(a * m[0] + b * m[1] + shift, F.lit(self.slots))
@@ -139,10 +143,9 @@ class RankTable:
             F.get(t["keys"], s) == F.shiftleft(a.cast("bigint"), 16) + b, F.get(t["values"], s)
         ).otherwise(F.lit(NONE)))
 
-    def fold(self, word: Column) -> Column:
-        """``array<int>`` of ids of a binary ``word``.  The literal arrays are bound once, so they stand once in the plan."""
-        arrays = F.struct(self.keys.alias("keys"), self.values.alias("values"), self.shifts.alias("shifts"))
-        return bind(arrays, lambda t: self._fold(word, t))
+    def fold(self, word: Column, table: Column) -> Column:
+        """``array<int>`` of ids of a binary ``word``; ``table`` is a column of :attr:`arrays`."""
+        return bind(table, lambda t: self._fold(word, t))
 
     def _fold(self, word: Column, t: Column) -> Column:
         no_pair = F.array().cast("array<struct<a: int, b: int>>")
@@ -305,7 +308,7 @@ def encode_documents(docs: DataFrame, finish, schema: str, path: str | None = No
     """Encode ``docs(doc_id, text)`` and give each chunk's documents to ``finish``."""
     spark = docs.sparkSession
     ranks = load_ranks(path or vocabulary_path())
-    table_ = RankTable(ranks)
+    table_ = RankTable(spark, ranks)
     size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n = max(1, -(-size // CHUNK_BYTES))
     # bucketed by chunk as it is written, so that the join below does not shuffle the sequences
@@ -317,7 +320,9 @@ def encode_documents(docs: DataFrame, finish, schema: str, path: str | None = No
     places = chunks.select("chunk", F.posexplode("words").alias("n", "word")).groupBy(
         "word", F.pmod(F.xxhash64("chunk"), F.lit(-(-n // PLACES))).alias("part")
     ).agg(F.collect_list(F.shiftleft("chunk", PLACE_BITS) + F.col("n")).alias("places"))
-    short = places.where(F.octet_length("word") <= LONG_WORD).select("places", table_.fold(F.col("word")).alias("ids"))
+    # a subquery may not stand inside a higher-order function; the two projections become one, so no row carries the table
+    short = places.where(F.octet_length("word") <= LONG_WORD).select("places", "word", table_.arrays.alias("table"))
+    short = short.select("places", table_.fold(F.col("word"), F.col("table")).alias("ids"))
     long = long_ids(places.where(F.octet_length("word") > LONG_WORD), ranks)
     ids = short.union(long).select(F.explode("places").alias("p"), "ids").select(
         F.shiftright("p", PLACE_BITS).alias("chunk"), F.col("p").bitwiseAND((1 << PLACE_BITS) - 1).cast("int").alias("n"), "ids"

@@ -217,3 +217,15 @@ def test_stars_take_no_round(spark, monkeypatch):
     assert made == ["edges"]
     chain = [(i, i + 1) for i in range(20)] + [(100, 103), (103, 101), (101, 102)]
     assert find(chain) == {i: 0 for i in range(21)} | {i: 100 for i in range(100, 104)}
+
+
+def test_vocabulary_is_no_text_of_the_plan(spark):
+    """Each version of a plan, and each run that the driver remembers, once held the rank table as 1.8 MB of text."""
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "the plan of a query"), (2, None)], "doc_id long, text string")
+    out = corpus_pipeline.bpe_stage(spark, docs, "")
+    plan = out._jdf.queryExecution()
+    assert len(plan.toString()) < 200_000
+    assert "subquery" in plan.optimizedPlan().toString() and " AS table#" not in plan.optimizedPlan().toString()  # no row carries it
+    assert sorted((r.doc_id, r.n_tokens, r.n_decoded) for r in out.collect()) == [(1, 5, 19), (2, 0, 0)]
